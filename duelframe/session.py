@@ -18,6 +18,7 @@ LOCAL_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "16g",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
 }
