@@ -93,3 +93,60 @@ def key_row_number(df: DataFrame, key, order, name: str = "_rn",
     out = s.join(stats, [*key_names, "_pid"])
     return (out.withColumn(name, F.col("_off") + F.col("_mid") - F.col("_mid0") + 1)
                .drop("_pid", "_mid", "_mid0", "_off"))
+
+
+def top_k(df: DataFrame, order, k: int) -> DataFrame:
+    """O3: global top-k (planned as TakeOrderedAndProject: per-task top-k, then merge)."""
+    return df.orderBy(*_as_cols(order)).limit(k)
+
+
+def preview(df: DataFrame, order, n: int = 5, tail: bool = False) -> DataFrame:
+    """Head (or tail) rows in ``order``; tail = top-n of the reversed order."""
+    cols = _as_cols(order)
+    if tail:
+        cols = [_reverse(c) for c in cols]
+    return df.orderBy(*cols).limit(n)
+
+
+def _reverse(c: Column) -> Column:
+    s = c._jc.toString()
+    if s.endswith(" DESC NULLS LAST"):
+        return F.col(s[: -len(" DESC NULLS LAST")]).asc_nulls_first()
+    if s.endswith(" ASC NULLS FIRST"):
+        return F.col(s[: -len(" ASC NULLS FIRST")]).desc_nulls_last()
+    return c.desc_nulls_last()
+
+
+def shuffle_key(id_col, seed: int | None = 0) -> Column:
+    """Repeatable pseudo-random key: md5 of ``id:seed`` (same in any engine)."""
+    return F.md5(F.concat_ws(":", F.col(id_col).cast("string") if isinstance(id_col, str)
+                             else id_col.cast("string"), F.lit(str(seed))))
+
+
+def shuffle_rows(df: DataFrame, id_col: str, seed: int = 0, name: str = "shuffle_pos") -> DataFrame:
+    """Repeatable shuffle; ``name`` gives the new position (1-based)."""
+    keyed = df.withColumn("_shuf", shuffle_key(id_col, seed))
+    return global_row_number(keyed, ["_shuf", id_col], name).drop("_shuf")
+
+
+def reverse_order(df: DataFrame, pos: str) -> DataFrame:
+    """O6."""
+    return df.orderBy(F.col(pos).desc())
+
+
+def top_half(corr: DataFrame, feature: str = "feature", value: str = "corr",
+             exclude: list[str] | None = None) -> DataFrame:
+    """Keep the floor(n/2) (at least 1) features with the largest |corr|·100.
+
+    Ascending sort by the score, keep the last half (Q16: never all when n < 2).
+    The correlation table has one row per feature (bounded by the schema).
+    """
+    c = corr
+    if exclude:
+        c = c.filter(~F.col(feature).isin(exclude))
+    c = c.withColumn("score", F.abs(F.col(value)) * 100)
+    w = Window.orderBy(F.col("score").desc(), F.col(feature).desc())
+    keep = F.greatest(F.floor(F.col("_n") / 2), F.lit(1))
+    ranked = (c.withColumn("_r", F.row_number().over(w))
+               .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy())))
+    return ranked.filter(F.col("_r") <= keep).drop("_r", "_n")
