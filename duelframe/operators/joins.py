@@ -100,22 +100,32 @@ def unmatched(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right, on, "left_anti")
 
 
+MAX_BROADCAST_DAYS = 1_000_000
+
+
 def forward_date(left: DataFrame, right: DataFrame, left_date: str, right_date: str,
                  max_days: int = 1, as_: str = "match_date") -> DataFrame:
     """The same date if ``right`` has rows on it, else the next date with
     rows within ``max_days`` (checked day by day); NULL if none.
 
-    Only the distinct dates of ``right`` are joined (one row per day).
+    Works on distinct dates only: a (left date -> match date) map is built
+    from the distinct dates of both sides and joined back.  A date map has at
+    most (last - first + 1) rows; that span is measured first and the map is
+    broadcast only when the span is under ``MAX_BROADCAST_DAYS``.
     """
-    dates = right.select(F.col(right_date).cast("date").alias("_d")).distinct()
-    out = left.withColumn("_ld", F.col(left_date).cast("date"))
-    cands = []
+    ld = left.select(F.col(left_date).cast("date").alias("_ld")).distinct()
+    rd = right.select(F.col(right_date).cast("date").alias("_d")).distinct()
+    m = ld
     for k in range(max_days + 1):
-        dk = dates.select(F.col("_d").alias(f"_d{k}"))
-        out = out.join(broadcast_if_small(dk), F.date_add("_ld", k) == F.col(f"_d{k}"), "left")
-        cands.append(F.col(f"_d{k}"))
-    return out.withColumn(as_, F.coalesce(*cands)).drop("_ld", *[f"_d{k}" for k in
-                                                                   range(max_days + 1)])
+        dk = rd.select(F.col("_d").alias(f"_d{k}"))
+        m = m.join(dk, F.date_add("_ld", k) == F.col(f"_d{k}"), "left")
+    m = m.select("_ld", F.coalesce(*[F.col(f"_d{k}") for k in range(max_days + 1)]).alias(as_))
+    span = left.agg(F.datediff(F.max(F.col(left_date).cast("date")),
+                               F.min(F.col(left_date).cast("date"))).alias("s")).first()["s"]
+    if span is not None and span + 1 <= MAX_BROADCAST_DAYS:
+        m = F.broadcast(m)
+    out = left.withColumn("_ld", F.col(left_date).cast("date"))
+    return out.join(m, "_ld", "left").drop("_ld")
 
 
 def best_match_join(left: DataFrame, right: DataFrame, left_id, right_id,
