@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from duelframe.functions.numeric import row_mean
 from duelframe.operators import aggs as A
+from duelframe.plans import sqlx as S
 from duelframe.plans.registry import register, table
 
 
@@ -190,3 +191,95 @@ def q_row_mean(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     return p.select("p_partkey", F.round(row_mean("p_size", "p_retailprice"), 6)
                     .alias("size_price_mean"))
+
+
+@register("argmin_per_order", """
+SELECT l_orderkey, l_linenumber, l_extendedprice FROM (
+  SELECT l_orderkey, l_linenumber, l_extendedprice,
+         row_number() OVER (PARTITION BY l_orderkey
+                            ORDER BY l_extendedprice, l_linenumber, l_partkey, l_suppkey) AS rk
+  FROM lineitem) WHERE rk = 1
+""")
+def q_argmin(spark, sf_dir):
+    """The cheapest line of each order (ties by line number, then keys)."""
+    from duelframe.operators.joins import argmin
+
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey",
+                                                 "l_suppkey", "l_extendedprice")
+    best = argmin(li, "l_orderkey", "l_extendedprice", ["l_linenumber", "l_partkey", "l_suppkey"])
+    return best.select("l_orderkey", "l_linenumber", "l_extendedprice")
+
+
+@register("numeric_cleanup", """
+WITH r AS (SELECT l_orderkey, l_linenumber,
+                  CASE WHEN l_tax = 0 AND l_discount = 0 THEN 'NaN'::DOUBLE
+                       WHEN l_tax = 0 THEN 'inf'::DOUBLE
+                       ELSE l_discount / l_tax END AS x,
+                  CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_quantity END AS q,
+                  CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_returnflag END AS flag
+           FROM lineitem)
+SELECT l_orderkey, l_linenumber,
+       round(CASE WHEN isnan(x) THEN 0 WHEN x = 'inf'::DOUBLE THEN 1.7976931348623157e308
+                  WHEN x = '-inf'::DOUBLE THEN -1.7976931348623157e308 ELSE x END, 6) AS x_finite,
+       coalesce(q, 0) AS q_filled, coalesce(flag, 'Orthodox') AS flag_filled,
+       floor(abs(CASE WHEN isnan(x) OR isinf(x) THEN 0 ELSE x END) * 100) AS x_pct
+FROM r
+""")
+def q_numeric_cleanup(spark, sf_dir):
+    """F18 + F19 + F20 + F21: NaN/inf made by expression, then cleaned."""
+    from duelframe.functions.numeric import abs_pct_floor_half, fill_category, fill_zero, finite_or_max
+
+    li = table(spark, sf_dir, "lineitem")
+    x = (F.when((F.col("l_tax") == 0) & (F.col("l_discount") == 0), F.lit(float("nan")))
+          .when(F.col("l_tax") == 0, F.lit(float("inf")))
+          .otherwise(F.col("l_discount") / F.col("l_tax")))
+    r = li.select("l_orderkey", "l_linenumber", x.alias("x"),
+                  F.when(F.col("l_linenumber") % 3 == 0, F.lit(None)).otherwise(F.col("l_quantity"))
+                  .alias("q"),
+                  F.when(F.col("l_returnflag") == "N", F.lit(None)).otherwise(F.col("l_returnflag"))
+                  .alias("flag"))
+    r = fill_category(fill_zero(r.withColumn("x_finite", F.round(finite_or_max("x"), 6))
+                                 .withColumn("x_pct", F.floor(abs_pct_floor_half(
+                                     F.when(F.isnan("x") | (F.abs("x") == float("inf")), 0.0)
+                                      .otherwise(F.col("x")))).cast("double"))
+                                 .drop("x")),
+                      {"flag": "Orthodox"})
+    return r.select("l_orderkey", "l_linenumber", "x_finite", F.col("q").alias("q_filled"),
+                    F.col("flag").alias("flag_filled"), "x_pct")
+
+
+@register("edit_scores", f"""
+SELECT p_partkey, levenshtein(p_name, p_type) AS distance,
+       round({S.indel_ratio('p_name', 'p_type')}, 6) AS ratio
+FROM part
+""")
+def q_edit_scores(spark, sf_dir):
+    """F12 + F13 row-wise: edit distance and indel similarity of two text columns."""
+    from duelframe.functions.text import edit_distance, indel_ratio
+
+    p = table(spark, sf_dir, "part")
+    return p.select("p_partkey", edit_distance("p_name", "p_type").alias("distance"),
+                    F.round(indel_ratio("p_name", "p_type"), 6).alias("ratio"))
+
+
+@register("feature_columns", """
+SELECT l_orderkey, l_linenumber, 7 AS n_features,
+       round(l_orderkey + l_partkey + l_suppkey + l_linenumber + l_quantity + l_extendedprice
+             + l_discount + l_tax, 6) AS feature_sum,
+       CAST(l_returnflag = 'R' AS INTEGER) AS label
+FROM lineitem
+""")
+def q_feature_columns(spark, sf_dir):
+    """P6 + P7: numeric columns by dtype, all but the label as features."""
+    from duelframe.operators.project import columns_by_type, split_label
+
+    li = table(spark, sf_dir, "lineitem").withColumn(
+        "label", (F.col("l_returnflag") == "R").cast("int"))
+    num, _cat = columns_by_type(li)
+    feats, label = split_label(li.select(*num), "label")
+    feats = [c for c in feats if c != "l_orderkey"]
+    total = F.col("l_orderkey").cast("double")
+    for c in feats:
+        total = total + F.col(c).cast("double")
+    return li.select("l_orderkey", "l_linenumber", F.lit(len(feats)).alias("n_features"),
+                     F.round(total, 6).alias("feature_sum"), F.col(label))
