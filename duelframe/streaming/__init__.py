@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference has no streams, watermarks, windows over time, state or
+late-data handling (every input is a whole file or a page set), so there is
+no streaming operator to rebuild.  All operators in this package are batch
+DataFrame plans; a caller who needs them on a stream can apply the
+stateless ones inside ``foreachBatch``.
+"""
