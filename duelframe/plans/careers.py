@@ -17,7 +17,7 @@ _EVENTS_SQL = """(SELECT user_id, ts, event_id, value,
                   FROM events)"""
 
 
-def event_careers(spark, sf_dir, n=5, f=1, drop_last=True, split_hot_keys=True):
+def event_careers(spark, sf_dir, n=5, f=1, drop_last=True, split_hot_keys="auto"):
     ev = table(spark, sf_dir, "events").withColumn(
         "won", (F.col("event_type") == "purchase").cast("int"))
     return career_windows(ev, "user_id", ["ts", "event_id"], ["ts", "value", "won"],

@@ -199,3 +199,16 @@ def test_records_and_literals(spark):
     assert df.first() == Row(x="a", y="b", score=1, ratio=0.5)
     lit = io.literal_table(spark, {"a": 1}, "k", "v")
     assert lit.collect()[0]["v"] == 1
+
+
+def test_hot_key_detection_and_equal_results(spark):
+    from duelframe.operators.windows import has_hot_key
+
+    df = _careers(spark, [60, 5, 7, 9])
+    assert has_hot_key(df, "cid", 8, partitions=4)
+    assert not has_hot_key(df, "cid", 100, partitions=4)
+    a = career_windows(df, "cid", ["d"], ["v"], n=3, f=2, label="won", split_hot_keys=True,
+                       block_rows=8, partitions=5)
+    b = career_windows(df, "cid", ["d"], ["v"], n=3, f=2, label="won", split_hot_keys=False)
+    assert a.count() == b.count() == sum(max(0, s - 5) for s in [60, 5, 7, 9])
+    assert a.exceptAll(b).count() == 0
