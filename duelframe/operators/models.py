@@ -37,15 +37,18 @@ def as_features(df: DataFrame, cols: list[str] | str, out: str = "features") ->
 
 # -- estimators (scikit-learn parameter names mapped to MLlib) --------------
 
-def logreg(C: float = 1.0, n: int = 1, max_iter: int = 50) -> LogisticRegression:
-    """L2 logistic regression; C -> regParam = 1 / (C·n)."""
+def logreg(C: float = 1.0, n: int = 1, max_iter: int = 100, tol: float = 1e-4) -> LogisticRegression:
+    """L2 logistic regression; C -> regParam = 1 / (C·n); scikit-learn's
+    default tolerance (1e-4) and iteration cap (100)."""
     return LogisticRegression(regParam=1.0 / (C * max(n, 1)), elasticNetParam=0.0,
-                              standardization=False, maxIter=max_iter)
+                              standardization=False, maxIter=max_iter, tol=tol)
 
 
-def linear_svm(C: float = 1.0, n: int = 1, max_iter: int = 30) -> LinearSVC:
-    """Linear SVM (hinge loss); C -> regParam = 1 / (C·n)."""
-    return LinearSVC(regParam=1.0 / (C * max(n, 1)), standardization=False, maxIter=max_iter)
+def linear_svm(C: float = 1.0, n: int = 1, max_iter: int = 100, tol: float = 1e-4) -> LinearSVC:
+    """Linear SVM (hinge loss); C -> regParam = 1 / (C·n); tolerance 1e-4
+    as in scikit-learn."""
+    return LinearSVC(regParam=1.0 / (C * max(n, 1)), standardization=False, maxIter=max_iter,
+                     tol=tol)
 
 
 def bernoulli_nb(alpha: float = 1.0) -> Pipeline:
@@ -127,28 +130,52 @@ def evaluate_by(pred: DataFrame, group: str, label: str = "label",
     return out
 
 
+ROWS_PER_FIT_PARTITION = 200_000
+
+
+def right_size(df: DataFrame) -> DataFrame:
+    """Persist training data with about ``ROWS_PER_FIT_PARTITION`` rows per
+    partition (capped by spark.sql.shuffle.partitions): iterative fits run one
+    job per iteration, so empty or tiny partitions only add task overhead."""
+    n = df.count()
+    cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    want = max(1, min(cap, -(-n // ROWS_PER_FIT_PARTITION)))
+    out = df.coalesce(want) if want < df.rdd.getNumPartitions() else df
+    return out.persist()
+
+
 def compare_models(df: DataFrame, models: dict[str, Callable[[int], object]], k: int = 5,
-                   order: str = "id", label: str = "label") -> tuple[DataFrame, DataFrame]:
+                   order: str = "id", label: str = "label",
+                   parallelism: int = 4) -> tuple[DataFrame, DataFrame]:
     """Models × folds × {train_accuracy, accuracy, precision, recall, f1}.
 
     Folds are contiguous (W7).  Returns (long table, median per model/metric).
-    ``models`` maps a name to ``fn(n_train) -> estimator``.
+    ``models`` maps a name to ``fn(n_train) -> estimator``.  Independent
+    (fold, model) fits are submitted from ``parallelism`` driver threads, as
+    ``CrossValidator(parallelism=...)`` does, so small fits share the cluster.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     from duelframe.operators.windows import kfold
 
     spark = df.sparkSession
-    data = kfold(df, k, [order]).persist()
-    rows = []
+    data = right_size(kfold(df, k, [order]))
+    sizes = {r["fold"]: r["count"] for r in data.groupBy("fold").count().collect()}
+    total = sum(sizes.values())
+
+    def run(fold, name):
+        train = data.filter(F.col("fold") != fold)
+        model = models[name](total - sizes.get(fold, 0)).fit(train)
+        pred = model.transform(data).withColumn("_test", F.col("fold") == fold)
+        ev = evaluate_by(pred, "_test", label)
+        out = [(name, fold, "train_accuracy", ev[False]["accuracy"])]
+        out.extend((name, fold, m, v) for m, v in ev.get(True, {}).items())
+        return out
+
+    jobs = [(fold, name) for fold in range(k) for name in models]
     try:
-        for fold in range(k):
-            train = data.filter(F.col("fold") != fold)
-            n = train.count()
-            for name, make in models.items():
-                model = make(n).fit(train)
-                pred = model.transform(data).withColumn("_test", F.col("fold") == fold)
-                ev = evaluate_by(pred, "_test", label)
-                rows.append((name, fold, "train_accuracy", ev[False]["accuracy"]))
-                rows.extend((name, fold, m, v) for m, v in ev[True].items())
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            rows = [r for part in pool.map(lambda j: run(*j), jobs) for r in part]
     finally:
         data.unpersist()
     long = spark.createDataFrame(rows, "model string, fold int, metric string, value double")
@@ -162,7 +189,7 @@ def repeat_eval(df: DataFrame, make: Callable[[int], object], seeds=range(1, 6),
     from duelframe.operators.prep import split
 
     spark = df.sparkSession
-    data = df.persist()
+    data = right_size(df)
     rows = []
     try:
         for s in seeds:

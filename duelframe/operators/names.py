@@ -81,14 +81,24 @@ def threshold_pairs(left: DataFrame, right: DataFrame, t: int, x: str = "x",
 
 
 def nearest_names(left: DataFrame, right: DataFrame, k: int = 7, x: str = "x", y: str = "y",
-                  with_ratio: bool = True) -> DataFrame:
+                  with_ratio: bool = True, start_t: int = 2) -> DataFrame:
     """Top-k closest right names per left name by (edit distance, name).
 
+    Thresholds grow 2, 3, ..., 6, then double: the candidate volume rises
+    steeply with t, so each name is settled at the smallest t that gives it
+    k partners.
+
     Output: x, y, score (int), ratio (indel similarity, only for the kept
     pairs) and rank 1..k.  Inputs are reduced to distinct names first.
     """
-    lx = left.select(F.col(x).alias("x")).where(F.col("x").isNotNull()).distinct()
-    ry = right.select(F.col(y).alias("y")).where(F.col("y").isNotNull()).distinct()
+    from duelframe.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(left.sparkSession)
+    # the distinct names are read once and written once; every round reuses them
+    lx = left.select(F.col(x).alias("x")).where(F.col("x").isNotNull()).distinct() \
+             .checkpoint(eager=True)
+    ry = right.select(F.col(y).alias("y")).where(F.col("y").isNotNull()).distinct() \
+              .checkpoint(eager=True)
     stats = ry.agg(F.count(F.lit(1)).alias("n"), F.max(F.length("y")).alias("m")).first()
     n_right, max_right = int(stats["n"] or 0), int(stats["m"] or 0)
     need = min(k, n_right)
@@ -96,13 +106,10 @@ def nearest_names(left: DataFrame, right: DataFrame, k: int = 7, x: str = "x", y
     t_full = max(max_right, max_left)
     found = None
     todo = lx
-    t = 1
+    t = start_t
     while True:
         t = min(t, t_full)
-        pairs = threshold_pairs(todo, ry, t)
-        from duelframe.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(lx.sparkSession)
-        pairs = pairs.checkpoint(eager=True)
+        pairs = threshold_pairs(todo, ry, t).checkpoint(eager=True)
         counts = pairs.groupBy("x").agg(F.count(F.lit(1)).alias("_c"))
         done = counts.filter(F.col("_c") >= need).select("x") if t < t_full else todo
         kept = pairs.join(done, "x", "left_semi")
@@ -113,7 +120,7 @@ def nearest_names(left: DataFrame, right: DataFrame, k: int = 7, x: str = "x", y
         todo = todo.checkpoint(eager=True)
         if todo.isEmpty():
             break
-        t *= 2
+        t = t + 1 if t < 6 else t * 2
     w = Window.partitionBy("x").orderBy("score", "y")
     top = found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     if with_ratio:

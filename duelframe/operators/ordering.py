@@ -21,10 +21,19 @@ def _as_cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+TARGET_PARTITION_BYTES = 32 * 1024 * 1024   # on-disk (compressed) bytes per range partition
+
+
 def _num_partitions(df: DataFrame, partitions: int | None) -> int:
+    """Range-partition count: explicit, else sized from Catalyst's estimate
+    (one partition per ~32 MB of input), capped by spark.sql.shuffle.partitions."""
     if partitions:
         return partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    from duelframe.operators.joins import estimated_bytes
+
+    cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    est = estimated_bytes(df)
+    return max(1, min(cap, -(-est // TARGET_PARTITION_BYTES)))
 
 
 def _materialize(df: DataFrame) -> DataFrame:

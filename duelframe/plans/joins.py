@@ -10,8 +10,8 @@ from duelframe.operators.project import winner_loser
 from duelframe.plans import sqlx as S
 from duelframe.plans.registry import register, table
 
-_W1 = "try_element_at(split(text, ' '), 1)"
-_W2 = "try_element_at(split(text, ' '), 2)"
+_W1 = "substring_index(text, ' ', 1)"
+_W2 = "CASE WHEN instr(text, ' ') > 0 THEN substring_index(substring_index(text, ' ', 2), ' ', -1) END"
 _D1 = "string_split(text, ' ')[1]"
 _D2 = "string_split(text, ' ')[2]"
 

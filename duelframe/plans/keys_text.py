@@ -9,8 +9,8 @@ from duelframe.functions import text as T
 from duelframe.plans import sqlx as S
 from duelframe.plans.registry import register, table
 
-_N1 = "try_element_at(split(text, ' '), 1)"
-_N2 = "try_element_at(split(text, ' '), 2)"
+_N1 = "substring_index(text, ' ', 1)"
+_N2 = "CASE WHEN instr(text, ' ') > 0 THEN substring_index(substring_index(text, ' ', 2), ' ', -1) END"
 
 
 @register("name_keys", f"""
