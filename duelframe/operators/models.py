@@ -225,7 +225,7 @@ def rank_results(results: DataFrame, metric: str, k: int = 5, tie: str | None =
     order = [F.col(metric).desc()] + ([F.col(tie)] if tie else [])
     top = results.orderBy(*order).limit(k)
     w = Window.orderBy(*order)  # k rows only
-    return top.withColumn("rank", F.row_number().over(w))
+    return top.withColumn("rank", F.row_number().over(w).cast("bigint"))
 
 
 # -- exact k nearest neighbours (M12) -------------------------------------------

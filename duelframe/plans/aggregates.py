@@ -258,7 +258,7 @@ def q_edit_scores(spark, sf_dir):
     from duelframe.functions.text import edit_distance, indel_ratio
 
     p = table(spark, sf_dir, "part")
-    return p.select("p_partkey", edit_distance("p_name", "p_type").alias("distance"),
+    return p.select("p_partkey", edit_distance("p_name", "p_type").cast("bigint").alias("distance"),
                     F.round(indel_ratio("p_name", "p_type"), 6).alias("ratio"))
 
 

@@ -40,10 +40,11 @@ def q_pair_join(spark, sf_dir):
 
 
 _NLOC = "concat(n_name, ', Centre, ', r_name)"
-_DIM = f"""(SELECT {_NLOC} AS location, n_nationkey * 10.5 AS location_elevation, n_nationkey AS dim_id
+_DIM = f"""(SELECT {_NLOC} AS location, n_nationkey * CAST(10.5 AS DOUBLE) AS location_elevation,
+                   n_nationkey AS dim_id
             FROM nation JOIN region ON n_regionkey = r_regionkey
             UNION ALL
-            SELECT concat(n_name, ', ', r_name), n_nationkey * 10.5 + 1, n_nationkey + 100
+            SELECT concat(n_name, ', ', r_name), n_nationkey * CAST(10.5 AS DOUBLE) + 1, n_nationkey + 100
             FROM nation JOIN region ON n_regionkey = r_regionkey)"""
 
 

@@ -153,7 +153,7 @@ def q_outcome_text(spark, sf_dir):
 SELECT page_id, contains(url, 'https') AS is_https, url = '' AS url_blank,
        length(regexp_replace(url, '[^/]', '', 'g')) = 0 AS no_slash,
        concat('https://example.org', regexp_extract(html, 'href="([^"]*)"', 1)) AS first_link,
-       to_json({'page_id': page_id, 'n': length(url)}) AS record
+       CAST(to_json({'page_id': page_id, 'n': length(url)}) AS VARCHAR) AS record
 FROM pages
 """)
 def q_text_tests(spark, sf_dir):
