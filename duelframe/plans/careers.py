@@ -169,3 +169,42 @@ def q_label_columns(spark, sf_dir):
 
 
 __all__ = ["event_careers", "finite_or_max"]
+
+
+@register("bout_careers", """
+WITH two AS (SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey,
+                    l_discount + 0.0 AS d, l_tax + 0.0 AS t,
+                    CASE l_returnflag WHEN 'R' THEN 'Red' WHEN 'A' THEN 'Blue' ELSE 'Draw' END AS Winner
+             FROM lineitem),
+c AS (SELECT concat('R', CAST(l_partkey AS VARCHAR)) AS competitor, l_shipdate, l_orderkey, l_linenumber,
+             d AS landed, t AS att, CAST(Winner = 'Red' AS INTEGER) AS won FROM two WHERE Winner <> 'Draw'
+      UNION ALL
+      SELECT concat('B', CAST(l_suppkey AS VARCHAR)), l_shipdate, l_orderkey, l_linenumber,
+             t, d, CAST(Winner = 'Blue' AS INTEGER) FROM two WHERE Winner <> 'Draw'),
+r AS (SELECT competitor, row_number() OVER w AS rn, count(*) OVER (PARTITION BY competitor) AS sz,
+             round(avg(landed) OVER (w ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING), 6) AS landed_mean,
+             sum(won) OVER (w ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS wins,
+             lead(won, 3) OVER w AS label_1
+      FROM c WINDOW w AS (PARTITION BY competitor ORDER BY l_shipdate, l_orderkey, l_linenumber, landed, att, won))
+SELECT competitor, rn AS win_start, landed_mean, CAST(wins AS INTEGER) AS wins, label_1
+FROM r WHERE sz >= 4 AND rn <= sz - 4
+""")
+def q_bout_careers(spark, sf_dir):
+    """The reference's career build end to end: two-sided rows -> competitor
+    rows without draws (U1) -> last-3 windows with the next outcome (W2-W4)."""
+    from duelframe.operators.reshape import split_sides
+    from duelframe.plans.reshaping import two_sided_lineitem
+
+    two = two_sided_lineitem(spark, sf_dir).withColumn("R_id", F.concat(F.lit("R"), F.col("R_key").cast("string"))) \
+        .withColumn("B_id", F.concat(F.lit("B"), F.col("B_key").cast("string"))).drop("R_key", "B_key")
+    comp = split_sides(two, flag="int", side_col=None)
+    w = career_windows(comp, "id", ["l_shipdate", "l_orderkey", "l_linenumber", "landed", "att",
+                                    "Winner"],
+                       ["landed", "Winner"], n=3, f=1, label="Winner")
+    feats = F.col("features")
+    out = w.select(F.col("id").alias("competitor"), "win_start",
+                   F.round(F.aggregate(feats, F.lit(0.0), lambda a, s: a + s["landed"]) / 3, 6)
+                    .alias("landed_mean"),
+                   F.aggregate(feats, F.lit(0), lambda a, s: a + s["Winner"]).alias("wins"),
+                   "labels")
+    return label_columns(out, "labels", 1).drop("labels")
