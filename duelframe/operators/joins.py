@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duelframe.functions.keys import normalize_name, pair_key, place_key
+from duelframe.operators.names import threshold_pairs
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -132,18 +133,30 @@ def best_match_join(left: DataFrame, right: DataFrame, left_id, right_id,
                     left_date: str, right_date: str,
                     left_names: tuple[str, str], right_names: tuple[str, str],
                     max_days: int = 1, max_cost: float | None = None,
-                    right_cols: list[str] | None = None) -> DataFrame:
+                    right_cols: list[str] | None = None,
+                    strategy: str = "auto", max_block_pairs: int = 1_000_000) -> DataFrame:
     """Per left row, the right row of the same block with the least mean
     edit distance of the two name pairs; ties -> smallest ``right_id``.
 
     The block is the left row's date, or the next date with right rows (J6).
     Only *distinct* name profiles are compared: right rows are first reduced
     to one representative (smallest id) per (date, name, name) and left rows
-    to distinct (block, name, name); the best profile is then joined back.
-    Work per block is bounded by its distinct names, not by its rows.
+    to distinct (block, name, name); the best profile is joined back.
+
+    ``strategy='rounds'`` (default) never pairs every profile of a block
+    up front: a candidate with cost <= t has a first-name distance <= 2t, so
+    the exact segment join of ``operators.names`` (keyed by block) finds all
+    of them; t = 1, 2, 4, ... is raised only for profiles still without a
+    candidate, and the last round (2t >= longest name) admits the rest.
+    ``strategy='profiles'`` compares all profile pairs of a block at once
+    (cheaper when names in a block are all far apart).  ``'auto'`` measures
+    the largest block (left profiles × right profiles, two small aggregates)
+    and uses 'profiles' only when no block exceeds ``max_block_pairs``.
     Output: left columns + ``match_date``, ``match_cost`` and ``right_cols``
     of the chosen right row (NULL when no block has candidates).
     """
+    from duelframe.session import ensure_checkpoint_dir
+
     lids, rids = _names(left_id), _names(right_id)
     right_cols = right_cols or [c for c in right.columns if c not in rids]
     lw, ll = left_names
@@ -157,16 +170,55 @@ def best_match_join(left: DataFrame, right: DataFrame, left_id, right_id,
                         .alias("_rrow")))
     lprof = blocked.select(F.col("match_date").alias("_bd"), F.col(lw).alias("_lw"),
                            F.col(ll).alias("_ll")).where(F.col("_bd").isNotNull()).distinct()
-    pairs = lprof.join(rprof, "_bd")
     cost = (F.levenshtein("_rw", "_lw") + F.levenshtein("_rl", "_ll")) / 2.0
-    pairs = pairs.withColumn("_cost", cost)
-    if max_cost is not None:
-        pairs = pairs.filter(F.col("_cost") <= max_cost)
     picked = [f"_rid_{c}" for c in rids] + [f"match_{c}" for c in payload]
-    best = (pairs.groupBy("_bd", "_lw", "_ll")
-                 .agg(F.min(F.struct("_cost", "_rrow")).alias("_b"))
-                 .select("_bd", "_lw", "_ll", F.col("_b._cost").alias("match_cost"),
-                         *[F.col("_b._rrow")[c].alias(c) for c in picked]))
+    if strategy == "auto":
+        lc = lprof.groupBy("_bd").agg(F.count(F.lit(1)).alias("_nl"))
+        rc = rprof.groupBy("_bd").agg(F.count(F.lit(1)).alias("_nr"))
+        worst = lc.join(rc, "_bd").agg(F.max(F.col("_nl") * F.col("_nr"))).first()[0] or 0
+        strategy = "profiles" if worst <= max_block_pairs else "rounds"
+
+    def pick(pairs):
+        return (pairs.groupBy("_bd", "_lw", "_ll")
+                     .agg(F.min(F.struct("_cost", "_rrow")).alias("_b"))
+                     .select("_bd", "_lw", "_ll", F.col("_b._cost").alias("match_cost"),
+                             *[F.col("_b._rrow")[c].alias(c) for c in picked]))
+
+    if strategy == "profiles":
+        pairs = lprof.join(rprof, "_bd").withColumn("_cost", cost)
+        if max_cost is not None:
+            pairs = pairs.filter(F.col("_cost") <= max_cost)
+        best = pick(pairs)
+    elif strategy == "rounds":
+        ensure_checkpoint_dir(left.sparkSession)
+        lprof = lprof.where(F.col("_lw").isNotNull()).checkpoint(eager=True)
+        rprof = rprof.where(F.col("_rw").isNotNull()).checkpoint(eager=True)
+        lens = lprof.agg(F.max(F.length("_lw"))).first()[0] or 0
+        lens = max(lens, rprof.agg(F.max(F.length("_rw"))).first()[0] or 0)
+        rnames = rprof.select("_bd", "_rw").distinct()
+        todo, found, t = lprof, None, 1.0
+        while True:
+            final = 2 * t >= lens or (max_cost is not None and t >= max_cost)
+            t1 = int(min(2 * t, lens))
+            cand = threshold_pairs(todo.select("_bd", "_lw").distinct(), rnames, t1,
+                                   x="_lw", y="_rw", block=["_bd"]).drop("score")
+            pairs = (cand.join(todo, ["_bd", "_lw"]).join(rprof, ["_bd", "_rw"])
+                         .withColumn("_cost", cost))
+            limit = max_cost if (final and max_cost is not None) else (None if final else t)
+            if limit is not None:
+                pairs = pairs.filter(F.col("_cost") <= limit)
+            got = pick(pairs).checkpoint(eager=True)
+            found = got if found is None else found.unionByName(got)
+            if final:
+                break
+            todo = todo.join(got.select("_bd", "_lw", "_ll"), ["_bd", "_lw", "_ll"],
+                             "left_anti").checkpoint(eager=True)
+            if todo.isEmpty():
+                break
+            t *= 2
+        best = found
+    else:
+        raise ValueError("strategy must be 'rounds' or 'profiles'")
     out = blocked.join(best, (blocked["match_date"] == best["_bd"]) &
                        (blocked[lw].eqNullSafe(best["_lw"])) &
                        (blocked[ll].eqNullSafe(best["_ll"])), "left")

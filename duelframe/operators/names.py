@@ -36,29 +36,34 @@ def _segments(L, t: int):
 
 
 def threshold_pairs(left: DataFrame, right: DataFrame, t: int, x: str = "x",
-                    y: str = "y", min_segment: int = 2) -> DataFrame:
+                    y: str = "y", min_segment: int = 2,
+                    block: list[str] | tuple = ()) -> DataFrame:
     """All (x, y, score) with levenshtein(x, y) <= t (both inputs distinct names).
 
+    With ``block`` columns (present on both sides) only pairs of the same
+    block are considered; they are part of every join key.
+
     Lengths L with segments shorter than ``min_segment`` (L < min_segment·(t+1))
     are matched by length alone (every y of that length is a candidate): the
     segment filter would be no sharper there and only multiply join rows.
     """
     band_below = min_segment * (t + 1)
-    ry = right.select(F.col(y).alias("_y")).withColumn("_L", F.length("_y"))
+    blk = list(block)
+    ry = right.select(F.col(y).alias("_y"), *blk).withColumn("_L", F.length("_y"))
     start, length = _segments(F.col("_L"), t)
     seg_idx = F.when(F.col("_L") < band_below, F.array(F.lit(-1))) \
                .otherwise(F.sequence(F.lit(0), F.lit(t)))
     ry = ry.withColumn("_i", F.explode(seg_idx))
-    ry = ry.select("_y", "_L", "_i",
+    ry = ry.select("_y", *blk, "_L", "_i",
                    F.when(F.col("_i") < 0, F.lit(""))
                     .otherwise(F.substr("_y", start(F.col("_i")) + 1, length(F.col("_i"))))
                     .alias("_seg"))
 
-    lx = left.select(F.col(x).alias("_x")).withColumn("_Lx", F.length("_x"))
+    lx = left.select(F.col(x).alias("_x"), *blk).withColumn("_Lx", F.length("_x"))
     lx = lx.withColumn("_L", F.explode(F.sequence(F.greatest(F.col("_Lx") - t, F.lit(0)),
                                                   F.col("_Lx") + t)))
     band = lx.filter(F.col("_L") < band_below).select(
-        "_x", "_L", F.lit(-1).alias("_i"), F.lit("").alias("_seg"))
+        "_x", *blk, "_L", F.lit(-1).alias("_i"), F.lit("").alias("_seg"))
     lx = lx.filter(F.col("_L") >= band_below)
     lx = lx.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(t))))
     start, length = _segments(F.col("_L"), t)
@@ -70,14 +75,14 @@ def threshold_pairs(left: DataFrame, right: DataFrame, t: int, x: str = "x",
     lx = lx.withColumn("_len", seglen).withColumn("_lo", lo).withColumn("_hi", hi)
     lx = lx.filter(F.col("_lo") <= F.col("_hi"))
     lx = lx.withColumn("_p", F.explode(F.sequence("_lo", "_hi")))
-    lx = lx.select("_x", "_L", "_i",
+    lx = lx.select("_x", *blk, "_L", "_i",
                    F.substr("_x", F.col("_p") + 1, F.col("_len")).alias("_seg")).distinct()
     probes = lx.unionByName(band)
 
-    cand = probes.join(ry, ["_L", "_i", "_seg"]).select("_x", "_y").distinct()
+    cand = probes.join(ry, [*blk, "_L", "_i", "_seg"]).select("_x", "_y", *blk).distinct()
     scored = cand.withColumn("score", F.levenshtein("_x", "_y", t))
     return scored.filter(F.col("score") >= 0).select(F.col("_x").alias(x), F.col("_y").alias(y),
-                                                     "score")
+                                                     *blk, "score")
 
 
 def nearest_names(left: DataFrame, right: DataFrame, k: int = 7, x: str = "x", y: str = "y",

@@ -162,11 +162,13 @@ def test_best_match_ties_and_fallback(spark):
                                    (11, dt.date(2020, 1, 1), "ann", "bobb"),
                                    (12, dt.date(2020, 1, 6), "cat", "dog")],
                                   "rid int, d date, w string, l string")
-    out = {r["lid"]: r for r in J.best_match_join(left, right, "lid", "rid", "d", "d",
-                                                   ("w", "l"), ("w", "l")).collect()}
-    assert out[1]["match_rid"] == 10 and out[1]["match_cost"] == 0.5   # tie -> smallest id
-    assert out[2]["match_rid"] == 12 and out[2]["match_date"] == dt.date(2020, 1, 6)
-    assert out[3]["match_rid"] is None
+    for strategy in ("rounds", "profiles", "auto"):
+        out = {r["lid"]: r for r in J.best_match_join(left, right, "lid", "rid", "d", "d",
+                                                       ("w", "l"), ("w", "l"),
+                                                       strategy=strategy).collect()}
+        assert out[1]["match_rid"] == 10 and out[1]["match_cost"] == 0.5   # tie -> smallest id
+        assert out[2]["match_rid"] == 12 and out[2]["match_date"] == dt.date(2020, 1, 6)
+        assert out[3]["match_rid"] is None
 
 
 def test_scalers_exact(spark):
@@ -212,3 +214,18 @@ def test_hot_key_detection_and_equal_results(spark):
     b = career_windows(df, "cid", ["d"], ["v"], n=3, f=2, label="won", split_hot_keys=False)
     assert a.count() == b.count() == sum(max(0, s - 5) for s in [60, 5, 7, 9])
     assert a.exceptAll(b).count() == 0
+
+
+def test_best_match_strategies_agree(spark):
+    from conftest import SF_SMALL
+    from duelframe.plans.joins import q_best_match_join
+    import duelframe.operators.joins as JJ
+
+    a = q_best_match_join(spark, SF_SMALL)
+    orig = JJ.best_match_join
+    try:
+        JJ.best_match_join = lambda *x, **k: orig(*x, **{**k, "strategy": "rounds"})
+        b = q_best_match_join(spark, SF_SMALL)
+    finally:
+        JJ.best_match_join = orig
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
