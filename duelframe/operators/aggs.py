@@ -78,9 +78,66 @@ def mean_over_runs(df: DataFrame, key, metrics: list[str]) -> DataFrame:
     return group_mean(df, key, metrics)
 
 
-def median_over_folds(df: DataFrame, key, metrics: list[str]) -> DataFrame:
+def median_over_folds(df: DataFrame, key, metrics: list[str], method: str = "auto") -> DataFrame:
     """Exact (interpolated) median of each metric across folds."""
-    return df.groupBy(*_names(key)).agg(*[F.median(m).alias(m) for m in metrics])
+    keys = _names(key)
+    if _use_sort(df, keys, method):
+        parts = [exact_quantiles(df, keys, m, [0.5]).select(*keys, F.col("value").alias(m))
+                 for m in metrics]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.join(p, keys, "full")
+        return out
+    return df.groupBy(*keys).agg(*[F.median(m).alias(m) for m in metrics])
+
+
+HOT_GROUP_ROWS = 1 << 20
+
+
+def _use_sort(df: DataFrame, keys: list[str], method: str) -> bool:
+    """'sort' when a group is large enough that buffering it in one task is a
+    risk (measured with one partial aggregate), 'aggregate' otherwise."""
+    if method in ("sort", "aggregate"):
+        return method == "sort"
+    if not keys:
+        n = df.count()
+        return n > HOT_GROUP_ROWS
+    mx = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).agg(F.max("_c")).first()[0]
+    return (mx or 0) > HOT_GROUP_ROWS
+
+
+def exact_quantiles(df: DataFrame, keys: list[str], col: str, probs: list[float]) -> DataFrame:
+    """Exact interpolated quantiles (same definition as ``percentile``) without
+    buffering a group in one task.
+
+    Values are numbered inside each group by a range-partitioned sort (a hot
+    group spreads over many tasks); only the <= 2 rows per probability that
+    bracket position p·(n-1) are kept and interpolated.  Output: keys, p, value.
+    """
+    from duelframe.operators.ordering import key_row_number
+
+    v = df.select(*keys, F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    if keys:
+        numbered = key_row_number(v, keys, ["_v"], "_rn", "_n")
+    else:
+        from duelframe.operators.ordering import global_row_number
+
+        numbered = global_row_number(v, ["_v"], "_rn", total_name="_n")
+    pos = [(p, F.lit(p) * (F.col("_n") - 1)) for p in probs]
+    wanted = F.array(*[x for _, ps in pos for x in (F.floor(ps) + 1, F.ceil(ps) + 1)])
+    near = numbered.filter(F.array_contains(wanted.cast("array<bigint>"), F.col("_rn")))
+    rows = near.groupBy(*keys).agg(F.first("_n").alias("_n"),
+                                   F.map_from_entries(F.collect_list(F.struct("_rn", "_v")))
+                                   .alias("_m"))
+    outs = []
+    for p, _ in pos:
+        ps = F.lit(p) * (F.col("_n") - 1)
+        lo, hi = F.floor(ps), F.ceil(ps)
+        vlo = F.element_at("_m", (lo + 1).cast("bigint"))
+        vhi = F.element_at("_m", (hi + 1).cast("bigint"))
+        val = F.when(lo == hi, vlo).otherwise((hi - ps) * vlo + (ps - lo) * vhi)
+        outs.append(F.struct(F.lit(p).alias("p"), val.alias("value")))
+    return rows.select(*keys, F.inline(F.array(*outs)))
 
 
 def label_correlation(df: DataFrame, label: str, cols: list[str] | None = None) -> DataFrame:
@@ -100,12 +157,30 @@ def label_correlation(df: DataFrame, label: str, cols: list[str] | None = None)
 FIVE = [0.0, 0.25, 0.5, 0.75, 1.0]
 
 
-def five_number(df: DataFrame, cols: list[str], key=None) -> DataFrame:
-    """Min, q1, median, q3, max (exact, interpolated) per column [per group]."""
+def five_number(df: DataFrame, cols: list[str], key=None, method: str = "auto") -> DataFrame:
+    """Min, q1, median, q3, max (exact, interpolated) per column [per group].
+
+    ``method='auto'`` measures the largest group; above ``HOT_GROUP_ROWS`` it
+    uses ``exact_quantiles`` (sort-based) instead of ``percentile``, which
+    buffers a whole group in one task.
+    """
     keys = _names(key) if key else []
+    names = ["min", "q1", "median", "q3", "max"]
+    if _use_sort(df, keys, method):
+        parts = []
+        for c in cols:
+            q = exact_quantiles(df, keys, c, FIVE)
+            wide = q.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("p", "value")))
+                                        .alias("_m"))
+            parts.append(wide.select(*keys, F.lit(c).alias("column"),
+                                     *[F.element_at("_m", F.lit(p)).alias(n)
+                                       for p, n in zip(FIVE, names)]))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
     aggs = [F.percentile(F.col(c), F.array(*[F.lit(p) for p in FIVE])).alias(c) for c in cols]
     wide = df.groupBy(*keys).agg(*aggs)
     long = wide.unpivot(keys, cols, "column", "q") if keys else wide.unpivot(
         [], cols, "column", "q")
-    names = ["min", "q1", "median", "q3", "max"]
     return long.select(*keys, "column", *[F.col("q")[i].alias(n) for i, n in enumerate(names)])

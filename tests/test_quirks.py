@@ -229,3 +229,16 @@ def test_best_match_strategies_agree(spark):
     finally:
         JJ.best_match_join = orig
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_sort_quantiles_equal_percentile(spark):
+    from duelframe.operators import aggs as A
+
+    df = spark.createDataFrame([(g, float(v)) for g in range(3) for v in range(g * 7 + 2)] +
+                               [(0, None)], "g int, v double")
+    r = lambda d: sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in row)
+                         for row in d.collect())
+    assert r(A.five_number(df, ["v"], "g", method="sort")) == \
+        r(A.five_number(df, ["v"], "g", method="aggregate"))
+    m = A.median_over_folds(df, "g", ["v"], method="sort")
+    assert r(m) == r(A.median_over_folds(df, "g", ["v"], method="aggregate"))
