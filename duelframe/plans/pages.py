@@ -68,3 +68,22 @@ def q_absolute_links(spark, sf_dir):
     links = H.page_links(table(spark, sf_dir, "pages"))
     return links.filter(F.col("href").startswith("/")).select(
         "page_id", F.concat(F.lit("https://example.org"), F.col("href")).alias("url"))
+
+
+@register("page_records", f"""
+WITH p AS (SELECT page_id, regexp_extract_all(html, '<li>(.*?)</li>', 1) AS it FROM pages),
+e AS (SELECT page_id, u.raw FROM p, LATERAL (SELECT unnest(CASE WHEN len(it) = 0 THEN [NULL] ELSE it END) AS raw) u)
+SELECT page_id, regexp_replace(raw, {_TAG}, '', 'g') AS item, string_split(raw, '"')[1] AS part_1,
+       string_split(raw, '"')[2] AS part_2, string_split(raw, '"')[3] AS part_3
+FROM e
+""")
+def q_page_records(spark, sf_dir):
+    """X4 re-aimed + U5 + U6: each page's list items as a nested list, exploded
+    (a page without items keeps one NULL row), each item split into fields."""
+    from duelframe.operators.reshape import array_to_columns, explode_list
+
+    p = table(spark, sf_dir, "pages").select("page_id", H.items("html").alias("items"))
+    e = explode_list(p, "items", "raw").select("page_id", "raw")
+    e = e.select("page_id", H.strip_tags(F.col("raw")).alias("item"),
+                 F.split("raw", '"').alias("parts"))
+    return array_to_columns(e, "parts", ["part_1", "part_2", "part_3"])
