@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_CLASSES = 10_000
 
@@ -20,12 +21,19 @@ def confusion_matrix(df: DataFrame, y: str, yhat: str) -> DataFrame:
     """(y, yhat, n) for every pair of classes, missing cells as 0.
 
     The class list is bounded (checked) and collected; counts are a pivot.
+    A class that never occurs as ``y`` still gets its (all-zero) row: the
+    bounded class list is added as zero-weight rows before the pivot.
     """
     classes = _classes(df, y, yhat)
-    wide = df.groupBy(y).pivot(yhat, classes).agg(F.count(F.lit(1)))
-    present = wide.select(F.col(y).alias("y"),
-                          *[F.coalesce(F.col(str(c)), F.lit(0)).alias(f"_c{i}")
-                            for i, c in enumerate(classes)])
+    spark = df.sparkSession
+    ytype = df.schema[y].dataType
+    pad = spark.createDataFrame([(c,) for c in classes], T.StructType(
+        [T.StructField("y", ytype)])).select(
+        "y", F.lit(None).cast(df.schema[yhat].dataType).alias("yhat"), F.lit(0).alias("_w"))
+    rows = df.select(F.col(y).alias("y"), F.col(yhat).alias("yhat"), F.lit(1).alias("_w"))
+    wide = rows.unionByName(pad).groupBy("y").pivot("yhat", classes).agg(F.sum("_w"))
+    present = wide.select("y", *[F.coalesce(F.col(str(c)), F.lit(0)).alias(f"_c{i}")
+                                 for i, c in enumerate(classes)])
     long = present.unpivot(["y"], [f"_c{i}" for i in range(len(classes))], "_k", "n")
     lookup = F.create_map(*[x for i, c in enumerate(classes)
                             for x in (F.lit(f"_c{i}"), F.lit(c))])

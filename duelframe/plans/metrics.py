@@ -23,7 +23,6 @@ WITH c AS (SELECT DISTINCT y AS c FROM {_YY} UNION SELECT DISTINCT yhat FROM {_Y
 t AS (SELECT y, yhat, count(*) AS n FROM {_YY} GROUP BY ALL)
 SELECT a.c AS y, b.c AS yhat, coalesce(t.n, 0) AS n
 FROM c a JOIN c b ON true LEFT JOIN t ON t.y = a.c AND t.yhat = b.c
-WHERE a.c IN (SELECT y FROM {_YY})
 """)
 def q_confusion(spark, sf_dir):
     """Confusion matrix, missing cells 0."""

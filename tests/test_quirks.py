@@ -242,3 +242,11 @@ def test_sort_quantiles_equal_percentile(spark):
         r(A.five_number(df, ["v"], "g", method="aggregate"))
     m = A.median_over_folds(df, "g", ["v"], method="sort")
     assert r(m) == r(A.median_over_folds(df, "g", ["v"], method="aggregate"))
+
+
+def test_confusion_matrix_all_cells(spark):
+    from duelframe.operators.metrics import confusion_matrix
+
+    df = spark.createDataFrame([(0, 0), (0, 2), (1, 1), (1, 0)], "y int, yhat int")
+    got = {(r.y, r.yhat): r.n for r in confusion_matrix(df, "y", "yhat").collect()}
+    assert len(got) == 9 and got[(2, 2)] == 0 and got[(0, 2)] == 1 and sum(got.values()) == 4
