@@ -248,14 +248,18 @@ def knn_classify(train: DataFrame, test: DataFrame, k: int = 5, weights: str = "
     spark = train.sparkSession
     from duelframe.operators.ordering import global_row_number
 
-    q = global_row_number(test.select(id_col, vec), [id_col], "_qn")
-    n_q = q.count()
+    n_q = test.count()
+    if n_q <= query_block:
+        q = test.select(id_col, vec).withColumn("_qn", F.lit(1))
+    else:
+        q = global_row_number(test.select(id_col, vec), [id_col], "_qn")
     tr = train.select(F.col(id_col).alias("_tid"), F.col(vec).cast("array<double>").alias("_v"),
                       F.col(label).alias("_lab"))
     parts = []
     for start in range(0, n_q, query_block):
-        block = (q.filter((F.col("_qn") > start) & (F.col("_qn") <= start + query_block))
-                  .select(id_col, vec).collect())
+        block = (q if n_q <= query_block else
+                 q.filter((F.col("_qn") > start) & (F.col("_qn") <= start + query_block)))
+        block = block.select(id_col, vec).collect()
         qids = np.array([r[0] for r in block])
         qv = np.array([np.asarray(r[1], dtype=np.float64) for r in block])
         bq = spark.sparkContext.broadcast((qids, qv))
