@@ -113,7 +113,7 @@ def with_row_id(df: DataFrame, order, name: str = "row_id", key=None) -> DataFra
     return key_row_number(df, key, order, name, size_name=None)
 
 
-def winner_loser(df: DataFrame, red: str = "R_fighter", blue: str = "B_fighter",
+def winner_loser(df: DataFrame, red: str = "R_name", blue: str = "B_name",
                  outcome: str = "Winner") -> DataFrame:
     """Winner / loser names from the two sides and the outcome."""
     w = F.col(outcome)

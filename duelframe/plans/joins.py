@@ -274,13 +274,13 @@ def q_dedupe_first(spark, sf_dir):
 
 
 @register("winner_loser", """
-WITH v AS (SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS R_fighter,
-                  CAST(l_suppkey AS VARCHAR) AS B_fighter,
+WITH v AS (SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS R_name,
+                  CAST(l_suppkey AS VARCHAR) AS B_name,
                   CASE l_returnflag WHEN 'R' THEN 'Red' WHEN 'A' THEN 'Blue' ELSE 'Draw' END AS Winner
            FROM lineitem)
 SELECT l_orderkey, l_linenumber, Winner,
-       CASE WHEN Winner = 'Red' THEN R_fighter ELSE B_fighter END AS winner_name,
-       CASE WHEN Winner = 'Blue' THEN R_fighter ELSE B_fighter END AS loser_name
+       CASE WHEN Winner = 'Red' THEN R_name ELSE B_name END AS winner_name,
+       CASE WHEN Winner = 'Blue' THEN R_name ELSE B_name END AS loser_name
 FROM v
 """)
 def q_winner_loser(spark, sf_dir):
@@ -288,7 +288,7 @@ def q_winner_loser(spark, sf_dir):
     from duelframe.plans.reshaping import two_sided_lineitem
 
     v = two_sided_lineitem(spark, sf_dir).select(
-        "l_orderkey", "l_linenumber", F.col("R_key").cast("string").alias("R_fighter"),
-        F.col("B_key").cast("string").alias("B_fighter"), "Winner")
+        "l_orderkey", "l_linenumber", F.col("R_key").cast("string").alias("R_name"),
+        F.col("B_key").cast("string").alias("B_name"), "Winner")
     return winner_loser(v).select("l_orderkey", "l_linenumber", "Winner", "winner_name",
                                   "loser_name")

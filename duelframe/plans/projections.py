@@ -19,12 +19,12 @@ def q_drop_select(spark, sf_dir):
 
 
 @register("rename_columns", """
-SELECT c_custkey AS id, c_name AS fighter, c_nationkey AS nationkey, c_acctbal AS acctbal,
+SELECT c_custkey AS id, c_name AS competitor, c_nationkey AS nationkey, c_acctbal AS acctbal,
        c_mktsegment AS mktsegment FROM customer
 """)
 def q_rename(spark, sf_dir):
     """P3 + P4: mapping rename, then anchored prefix strip."""
-    c = P.rename(table(spark, sf_dir, "customer"), {"c_custkey": "id", "c_name": "fighter"})
+    c = P.rename(table(spark, sf_dir, "customer"), {"c_custkey": "id", "c_name": "competitor"})
     return P.strip_prefix(c, "c_")
 
 
