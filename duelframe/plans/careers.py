@@ -14,7 +14,7 @@ from duelframe.plans.registry import register, table
 # One competitor = one user; a bout = one event; the "win" = a purchase.
 _EVENTS_SQL = """(SELECT user_id, ts, event_id, value,
                          CAST(event_type = 'purchase' AS INTEGER) AS won
-                  FROM events)"""
+                  FROM {source})"""
 
 
 def event_careers(spark, sf_dir, n=5, f=1, drop_last=True, split_hot_keys="auto"):
@@ -41,12 +41,12 @@ def _summarise(w, f):
     return label_columns(out, "labels", f).drop("labels")
 
 
-def _oracle(n, f, drop_last):
+def _oracle(n, f, drop_last, source="events"):
     last = f"sz - {n} - {f}" + ("" if drop_last else " + 1")
     labels = ",\n".join(
         f"lead(won, {n + i}) OVER w AS label_{i + 1}" for i in range(f))
     return f"""
-WITH e AS {_EVENTS_SQL},
+WITH e AS {_EVENTS_SQL.format(source=source)},
 r AS (
   SELECT user_id, ts, value, won,
          row_number() OVER w AS rn,
@@ -208,3 +208,21 @@ def q_bout_careers(spark, sf_dir):
                    F.aggregate(feats, F.lit(0), lambda a, s: a + s["Winner"]).alias("wins"),
                    "labels")
     return label_columns(out, "labels", 1).drop("labels")
+
+
+_HOT_EVENTS = ("(SELECT event_id, ts, CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user_id, "
+               "event_type, value FROM events)")
+_HOT_SQL = _oracle(5, 1, True, _HOT_EVENTS)
+
+
+@register("career_windows_hot_key", _HOT_SQL)
+def q_career_windows_hot_key(spark, sf_dir):
+    """W2-W4 with one competitor holding a third of all rows (every third
+    user folded into user 0): the block-split plan, forced, with small blocks
+    so that block boundaries are crossed at every scale."""
+    ev = table(spark, sf_dir, "events").withColumn(
+        "won", (F.col("event_type") == "purchase").cast("int")).withColumn(
+        "user_id", F.when(F.col("user_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
+    w = career_windows(ev, "user_id", ["ts", "event_id"], ["ts", "value", "won"], n=5, f=1,
+                       label="won", split_hot_keys=True, block_rows=512, partitions=8)
+    return _summarise(w, 1)
