@@ -73,3 +73,17 @@ def test_ratio_and_keys_properties(spark):
         assert (r.r == 1.0) == (r.a == r.b)
         assert r.l == lcs(r.a, r.b)
         assert r.k1 == r.k2 and r.n1 == r.n2
+
+
+def test_arrow_lcs_matches_expression(spark):
+    from duelframe.functions.text import _lcs_bits
+
+    assert _lcs_bits("kitten", "sitting") == 4
+    rng = random.Random(5)
+    pairs = [(a, b) for a, b in zip(_words(rng, 25, "abcd", 0, 90), _words(rng, 25, "abcd", 0, 90))]
+    pairs += [("", "x"), ("kitten", "sitting")]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    rows = df.select("a", "b", T.indel_ratio("a", "b").alias("e"),
+                     T.indel_ratio("a", "b", method="arrow").alias("u")).collect()
+    for r in rows:
+        assert abs(r.e - r.u) < 1e-12 and _lcs_bits(r.a, r.b) == lcs(r.a, r.b)
