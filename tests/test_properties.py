@@ -87,3 +87,15 @@ def test_arrow_lcs_matches_expression(spark):
                      T.indel_ratio("a", "b", method="arrow").alias("u")).collect()
     for r in rows:
         assert abs(r.e - r.u) < 1e-12 and _lcs_bits(r.a, r.b) == lcs(r.a, r.b)
+
+
+def test_lcs_forms_agree_on_long_and_short(spark):
+    from duelframe.functions.text import _lcs_bitvector, _lcs_table
+
+    rng = random.Random(9)
+    pairs = [(a, b) for a, b in zip(_words(rng, 30, "abcde", 1, 80), _words(rng, 30, "abcde", 1, 62))]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    rows = df.select("a", "b", _lcs_bitvector(F.col("a"), F.col("b")).alias("v"),
+                     _lcs_table(F.col("a"), F.col("b")).alias("t")).collect()
+    for r in rows:
+        assert r.v == r.t == lcs(r.a, r.b)
