@@ -121,6 +121,10 @@ def forward_date(left: DataFrame, right: DataFrame, left_date: str, right_date:
         dk = rd.select(F.col("_d").alias(f"_d{k}"))
         m = m.join(dk, F.date_add("_ld", k) == F.col(f"_d{k}"), "left")
     m = m.select("_ld", F.coalesce(*[F.col(f"_d{k}") for k in range(max_days + 1)]).alias(as_))
+    from duelframe.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(left.sparkSession)
+    m = m.checkpoint(eager=True)   # one row per distinct day; reused by every consumer
     span = left.agg(F.datediff(F.max(F.col(left_date).cast("date")),
                                F.min(F.col(left_date).cast("date"))).alias("s")).first()["s"]
     if span is not None and span + 1 <= MAX_BROADCAST_DAYS:
@@ -172,6 +176,10 @@ def best_match_join(left: DataFrame, right: DataFrame, left_id, right_id,
                            F.col(ll).alias("_ll")).where(F.col("_bd").isNotNull()).distinct()
     cost = (F.levenshtein("_rw", "_lw") + F.levenshtein("_rl", "_ll")) / 2.0
     picked = [f"_rid_{c}" for c in rids] + [f"match_{c}" for c in payload]
+    # both profile tables are used by the measurement and by the match: write them once
+    ensure_checkpoint_dir(left.sparkSession)
+    lprof = lprof.checkpoint(eager=True)
+    rprof = rprof.checkpoint(eager=True)
     if strategy == "auto":
         lc = lprof.groupBy("_bd").agg(F.count(F.lit(1)).alias("_nl"))
         rc = rprof.groupBy("_bd").agg(F.count(F.lit(1)).alias("_nr"))
@@ -190,9 +198,8 @@ def best_match_join(left: DataFrame, right: DataFrame, left_id, right_id,
             pairs = pairs.filter(F.col("_cost") <= max_cost)
         best = pick(pairs)
     elif strategy == "rounds":
-        ensure_checkpoint_dir(left.sparkSession)
-        lprof = lprof.where(F.col("_lw").isNotNull()).checkpoint(eager=True)
-        rprof = rprof.where(F.col("_rw").isNotNull()).checkpoint(eager=True)
+        lprof = lprof.where(F.col("_lw").isNotNull())
+        rprof = rprof.where(F.col("_rw").isNotNull())
         lens = lprof.agg(F.max(F.length("_lw"))).first()[0] or 0
         lens = max(lens, rprof.agg(F.max(F.length("_rw"))).first()[0] or 0)
         rnames = rprof.select("_bd", "_rw").distinct()
