@@ -133,6 +133,9 @@ def forward_date(left: DataFrame, right: DataFrame, left_date: str, right_date:
     return out.join(m, "_ld", "left").drop("_ld")
 
 
+forward_date_join = forward_date   # SURVEY name for J6
+
+
 def best_match_join(left: DataFrame, right: DataFrame, left_id, right_id,
                     left_date: str, right_date: str,
                     left_names: tuple[str, str], right_names: tuple[str, str],

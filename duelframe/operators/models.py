@@ -203,6 +203,32 @@ def repeat_eval(df: DataFrame, make: Callable[[int], object], seeds=range(1, 6),
     return spark.createDataFrame(rows, "seed int, metric string, value double")
 
 
+def predict_horizons(windows: DataFrame, f: int, make: Callable[[int], object],
+                     id_col: str = "id", frac: float = 0.8, seed: int = 2,
+                     features: str = "features") -> DataFrame:
+    """One binary model per horizon h = 1..f on the same window features.
+
+    ``windows`` holds a vector column ``features`` and 0/1 columns
+    ``label_1 .. label_f`` (W10).  Returns (horizon, metric, value) on a
+    repeatable hold-out split (M6).
+    """
+    from duelframe.operators.prep import split
+
+    spark = windows.sparkSession
+    data = right_size(split(windows, id_col, frac, seed))
+    rows = []
+    try:
+        n = data.filter("is_train").count()
+        for h in range(1, f + 1):
+            d = data.withColumn("label", F.col(f"label_{h}").cast("double"))
+            model = make(n).setFeaturesCol(features).fit(d.filter("is_train"))
+            for m, v in evaluate(model.transform(d.filter(~F.col("is_train")))).items():
+                rows.append((h, m, v))
+    finally:
+        data.unpersist()
+    return spark.createDataFrame(rows, "horizon int, metric string, value double")
+
+
 def grid_search(df: DataFrame, estimator, grid: dict, folds: int = 3, seed: int = 1,
                 label: str = "label", parallelism: int = 4) -> DataFrame:
     """M9: cross-validated grid search; one row per parameter map with its mean accuracy."""

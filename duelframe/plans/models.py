@@ -132,16 +132,7 @@ def q_predict_horizons(spark, sf_dir):
     w = label_columns(w, "labels", 2)
     w = ML.as_features(w, "flat").withColumn(
         "id", F.col("user_id") * 1000000 + F.col("win_start"))
-    w = split(w, "id", 0.8, 2).persist()
-    rows = []
-    for h in (1, 2):
-        d = w.withColumn("label", F.col(f"label_{h}").cast("double"))
-        train = d.filter("is_train")
-        model = ML.logreg(C=1.0, n=1).fit(train)
-        for m, v in ML.evaluate(model.transform(d.filter(~F.col("is_train")))).items():
-            rows.append((h, m, v))
-    w.unpersist()
-    return spark.createDataFrame(rows, "horizon int, metric string, value double")
+    return ML.predict_horizons(w, 2, lambda n: ML.logreg(C=1.0, n=n))
 
 
 @register("rank_results", """
