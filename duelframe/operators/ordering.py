@@ -48,8 +48,9 @@ def global_row_number(df: DataFrame, order, name: str = "row_id",
                       partitions: int | None = None, total_name: str | None = None) -> DataFrame:
     """Add a contiguous 1-based row number in ``order`` (must be a total order).
 
-    Also adds nothing else: helper columns are dropped.  The partition count
-    table has one row per range partition, so its broadcast is size-bounded.
+    Helper columns are dropped; ``total_name`` optionally adds the row count.
+    The partition count table has one row per range partition, so its
+    broadcast is size-bounded.
     """
     order_cols = _as_cols(order)
     p = _num_partitions(df, partitions)
@@ -80,10 +81,11 @@ def key_row_number(df: DataFrame, key, order, name: str = "_rn",
     key holding a third of all rows is spread over many range partitions
     instead of one task.  Optionally adds the group size.
     """
-    keys = _as_cols(key)
+    key_names = [key] if isinstance(key, str) else list(key)
+    if not all(isinstance(k, str) for k in key_names):
+        raise TypeError("key must be column name(s)")
+    keys = _as_cols(key_names)
     order_cols = _as_cols(order)
-    key_names = [k._jc.toString() if isinstance(k, Column) else k for k in
-                 ([key] if isinstance(key, (str, Column)) else list(key))]
     p = _num_partitions(df, partitions)
     s = (df.repartitionByRange(p, *keys, *order_cols)
            .sortWithinPartitions(*keys, *order_cols)
