@@ -300,14 +300,24 @@ def knn_classify(train: DataFrame, test: DataFrame, k: int = 5, weights: str = "
                 tlab = pdf["_lab"].to_numpy()
                 out_q, out_t, out_d, out_l = [], [], [], []
                 for s in range(0, len(ids), 256):
-                    diff = qmat[s:s + 256, None, :] - tv[None, :, :]
-                    d = np.sqrt((diff * diff).sum(axis=2))
+                    qs = qmat[s:s + 256]
+                    # sum of squared differences, one dimension at a time: memory
+                    # stays at (query chunk x batch) and the sum order matches a
+                    # plain sequential Euclidean distance
+                    acc = np.zeros((qs.shape[0], tv.shape[0]))
+                    for dim in range(qs.shape[1]):
+                        diff = qs[:, dim][:, None] - tv[:, dim][None, :]
+                        acc += diff * diff
+                    d = np.sqrt(acc)
                     kk = min(k, d.shape[1])
                     for r in range(d.shape[0]):
-                        order = np.lexsort((tid, d[r]))[:kk]
+                        row = d[r]
+                        kth = np.partition(row, kk - 1)[kk - 1]
+                        cand = np.nonzero(row <= kth)[0]
+                        order = cand[np.lexsort((tid[cand], row[cand]))][:kk]
                         out_q.append(np.full(kk, ids[s + r]))
                         out_t.append(tid[order])
-                        out_d.append(d[r][order])
+                        out_d.append(row[order])
                         out_l.append(tlab[order])
                 if out_q:
                     yield pd.DataFrame({"_qid": np.concatenate(out_q), "_tid": np.concatenate(out_t),
