@@ -42,7 +42,17 @@ def q_knn_exact(spark, sf_dir):
     return ML.knn_classify(train, test, k=5, id_col="vec_id", vec="embedding")
 
 
-@register("knn_distance_weighted", None)
+@register("knn_distance_weighted", f"""
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label % 2 AS y, {_KNN_SPLIT} AS is_train
+           FROM embeddings),
+d AS (SELECT t.vec_id AS qid, r.vec_id AS tid, r.y, list_distance(t.v, r.v) AS dist,
+             row_number() OVER (PARTITION BY t.vec_id ORDER BY list_distance(t.v, r.v), r.vec_id) AS rk
+      FROM e t JOIN e r ON NOT t.is_train AND r.is_train),
+k AS (SELECT *, max(CAST(dist = 0 AS INTEGER)) OVER (PARTITION BY qid) AS has_zero FROM d WHERE rk <= 5),
+v AS (SELECT qid, y, sum(CASE WHEN has_zero = 1 THEN CAST(dist = 0 AS DOUBLE) ELSE 1.0 / dist END) AS s
+      FROM k GROUP BY qid, y)
+SELECT qid AS vec_id, CAST(arg_min(y, [-s, y]) AS BIGINT) AS prediction FROM v GROUP BY qid
+""")
 def q_knn_weighted(spark, sf_dir):
     """M12 with 1/distance weights."""
     e = split(table(spark, sf_dir, "embeddings").select(
