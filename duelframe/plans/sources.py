@@ -62,11 +62,13 @@ PAIR_SCHEMA = T.StructType([
 SELECT p_name AS x, p_brand AS y, CAST(p_size AS INTEGER) AS score, p_retailprice AS ratio FROM part
 """)
 def q_records(spark, sf_dir):
-    """Records (RDD of dicts, as the reference builds them) -> typed table."""
-    p = table(spark, sf_dir, "part").select("p_name", "p_brand", "p_size", "p_retailprice")
-    recs = p.rdd.map(lambda r: {"x": r.p_name, "y": r.p_brand, "score": int(r.p_size),
-                                "ratio": float(r.p_retailprice)})
-    return io.from_records(spark, recs, PAIR_SCHEMA)
+    """S6 (+ F24): rows turned into JSON records, then parsed back against the
+    explicit, non-nullable pair schema (JVM-side, no Python per row)."""
+    p = table(spark, sf_dir, "part")
+    recs = p.select(F.to_json(F.struct(F.col("p_name").alias("x"), F.col("p_brand").alias("y"),
+                                       F.col("p_size").alias("score"),
+                                       F.col("p_retailprice").alias("ratio"))).alias("rec"))
+    return io.records_from_json(recs, "rec", PAIR_SCHEMA)
 
 
 # Priority text -> rank.
