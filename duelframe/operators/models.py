@@ -140,8 +140,8 @@ def right_size(df: DataFrame) -> DataFrame:
     n = df.count()
     cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     want = max(1, min(cap, -(-n // ROWS_PER_FIT_PARTITION)))
-    out = df.coalesce(want) if want < df.rdd.getNumPartitions() else df
-    return out.persist()
+    # coalesce never adds partitions, so a smaller input keeps its own count
+    return df.coalesce(want).persist()
 
 
 def compare_models(df: DataFrame, models: dict[str, Callable[[int], object]], k: int = 5,
