@@ -214,7 +214,7 @@ def q_argmin(spark, sf_dir):
 WITH r AS (SELECT l_orderkey, l_linenumber,
                   CASE WHEN l_tax = 0 AND l_discount = 0 THEN 'NaN'::DOUBLE
                        WHEN l_tax = 0 THEN 'inf'::DOUBLE
-                       ELSE l_discount / l_tax END AS x,
+                       ELSE (l_discount + 0.0) / l_tax END AS x,
                   CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_quantity END AS q,
                   CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_returnflag END AS flag
            FROM lineitem)
@@ -232,7 +232,7 @@ def q_numeric_cleanup(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     x = (F.when((F.col("l_tax") == 0) & (F.col("l_discount") == 0), F.lit(float("nan")))
           .when(F.col("l_tax") == 0, F.lit(float("inf")))
-          .otherwise(F.col("l_discount") / F.col("l_tax")))
+          .otherwise((F.col("l_discount") + 0.0) / F.col("l_tax")))
     r = li.select("l_orderkey", "l_linenumber", x.alias("x"),
                   F.when(F.col("l_linenumber") % 3 == 0, F.lit(None)).otherwise(F.col("l_quantity"))
                   .alias("q"),
