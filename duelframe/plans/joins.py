@@ -51,6 +51,7 @@ _DIM = f"""(SELECT {_NLOC} AS location, n_nationkey * CAST(10.5 AS DOUBLE) AS lo
 def _location_inputs(spark, sf_dir):
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
+    # nation (25 rows) and region (5 rows) do not grow with the scale factor
     nr = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
     dim = nr.select(F.concat("n_name", F.lit(", Centre, "), "r_name").alias("location"),
                     (F.col("n_nationkey") * 10.5).alias("location_elevation"),

@@ -45,6 +45,7 @@ def q_place_keys(spark, sf_dir):
     """F4 + F5 + F8 on nation locations."""
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
+    # region has 5 rows at every scale factor (fixed-size dimension)
     j = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
     loc = F.expr(_LOC)
     return j.select(

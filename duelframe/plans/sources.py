@@ -83,5 +83,5 @@ def q_literal_lookup(spark, sf_dir):
     """Literal lookup table, broadcast (five rows) into a join."""
     lit = io.literal_table(spark, PRIORITY_RANK, "k", "v", "k string, v int")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    j = o.join(F.broadcast(lit), o.o_orderpriority == lit.k, "left")
+    j = o.join(F.broadcast(lit), o.o_orderpriority == lit.k, "left")   # five literal rows
     return j.select("o_orderkey", F.col("v").alias("priority_rank"))
