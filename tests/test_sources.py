@@ -58,3 +58,13 @@ def test_records_from_json(spark):
         raise AssertionError("missing required field accepted")
     except Exception as exc:  # noqa: BLE001
         assert "AssertionError" not in type(exc).__name__
+
+
+def test_api_exports_every_group():
+    import duelframe.api as api
+
+    for name in ("read_table", "page_links", "strip_prefix", "pair_join", "best_match_join",
+                 "nearest_names", "group_count", "confusion_matrix", "career_windows",
+                 "top_k", "split_sides", "normalize_name", "indel_ratio", "safe_ratio",
+                 "label_encode", "compare_models", "knn_classify"):
+        assert callable(getattr(api, name))
