@@ -157,3 +157,32 @@ def q_rank_results(spark, sf_dir):
     res = li.groupBy(F.col("l_linenumber").alias("run")).agg(
         F.round(F.avg("l_discount"), 6).alias("score"), F.round(F.avg("l_tax"), 6).alias("loss"))
     return ML.rank_results(res, "score", 5, tie="run")
+
+
+@register("career_model_comparison", None)
+def q_career_model_comparison(spark, sf_dir):
+    """The reference's last-N flow end to end: two-sided rows -> competitor rows
+    (U1) -> prepared (M24) -> last-5 windows and next outcome (W2-W4) ->
+    flattened (W8) -> models compared over folds (M20)."""
+    from duelframe.operators.prep import prepare_careers
+    from duelframe.operators.reshape import split_sides
+    from duelframe.operators.windows import career_windows, flatten_windows, label_columns
+    from duelframe.plans.reshaping import two_sided_lineitem
+
+    b = two_sided_lineitem(spark, sf_dir)
+    bouts = b.select(F.col("l_shipdate").alias("date"),
+                     (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("bout_id"),
+                     F.concat(F.lit("p"), F.col("R_key").cast("string")).alias("R_name"),
+                     "R_landed", "R_att",
+                     F.concat(F.lit("s"), F.col("B_key").cast("string")).alias("B_name"),
+                     "B_landed", "B_att", "Winner")
+    feats = ["landed", "att", "Winner"]
+    rows = prepare_careers(split_sides(bouts, "R_", "B_", winner="Winner"), [], ["date", "name"])
+    win = career_windows(rows, "name", ["date", "bout_id", "landed", "att"], feats, n=5, f=1,
+                         label="Winner")
+    win = label_columns(win.withColumn("flat", flatten_windows("features", feats)), "labels")
+    data = (ML.as_features(win, "flat").withColumnRenamed("label_1", "label")
+              .withColumn("id", F.concat_ws(":", "name", "win_start")))
+    _long, med = ML.compare_models(data, {"logreg": lambda n: ML.logreg(1.0, n),
+                                          "random_forest": lambda n: ML.random_forest(20, 5)}, k=3)
+    return med

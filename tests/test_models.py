@@ -36,3 +36,8 @@ def test_pca_rfe_mlp_horizons(spark, q):
     assert m == {"accuracy", "precision", "recall", "f1"}
     h = q["predict_horizons"](spark, SF_SMALL).collect()
     assert sorted({x.horizon for x in h}) == [1, 2]
+
+
+def test_career_model_comparison(spark, q):
+    med = q["career_model_comparison"](spark, SF_SMALL).collect()
+    assert {r.model for r in med} == {"logreg", "random_forest"} and len(med) == 10
