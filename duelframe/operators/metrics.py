@@ -46,15 +46,21 @@ def accuracy(df: DataFrame, y: str, yhat: str) -> DataFrame:
 
 
 def f1_per_class(df: DataFrame, y: str, yhat: str) -> DataFrame:
-    """F1 of each class (0 when undefined): 2·tp / (n_true + n_pred)."""
-    true_n = df.groupBy(F.col(y).alias("cls")).agg(
-        F.count(F.lit(1)).alias("n_true"),
-        F.count_if(F.col(y) == F.col(yhat)).alias("tp"))
-    pred_n = df.groupBy(F.col(yhat).alias("cls")).agg(F.count(F.lit(1)).alias("n_pred"))
-    j = true_n.join(pred_n, "cls", "full")
-    tp = F.coalesce("tp", F.lit(0))
-    den = F.coalesce("n_true", F.lit(0)) + F.coalesce("n_pred", F.lit(0))
-    return j.select("cls", F.coalesce(F.try_divide(2.0 * tp, den), F.lit(0.0)).alias("f1"))
+    """F1 of each class (0 when undefined): 2·tp / (n_true + n_pred).
+
+    One scan: every row is counted once for its true class and once for its
+    predicted class (``inline`` of two structs), then one partial aggregate.
+    """
+    hit = (F.col(y) == F.col(yhat)).cast("int")
+    both = F.array(F.struct(F.col(y).alias("cls"), F.lit(1).alias("t"), F.lit(0).alias("p"),
+                            hit.alias("tp")),
+                   F.struct(F.col(yhat).alias("cls"), F.lit(0).alias("t"), F.lit(1).alias("p"),
+                            F.lit(0).alias("tp")))
+    agg = (df.select(F.inline(both)).groupBy("cls")
+             .agg(F.sum("t").alias("n_true"), F.sum("p").alias("n_pred"), F.sum("tp").alias("tp")))
+    return agg.select("cls", F.coalesce(F.try_divide(2.0 * F.col("tp"),
+                                                     F.col("n_true") + F.col("n_pred")),
+                                        F.lit(0.0)).alias("f1"))
 
 
 def macro_f1(df: DataFrame, y: str, yhat: str) -> DataFrame:
