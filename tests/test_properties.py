@@ -99,3 +99,24 @@ def test_lcs_forms_agree_on_long_and_short(spark):
                      _lcs_table(F.col("a"), F.col("b")).alias("t")).collect()
     for r in rows:
         assert r.v == r.t == lcs(r.a, r.b)
+
+
+def test_segment_and_deletion_joins_agree(spark):
+    import duelframe.operators.names as N
+
+    rng = random.Random(21)
+    xs, ys = _words(rng, 50, "abcde", 0, 9), _words(rng, 50, "abcde", 0, 9)
+    left = spark.createDataFrame([(x,) for x in xs], "x string")
+    right = spark.createDataFrame([(y,) for y in ys], "y string")
+    want = {t: {(x, y, lev(x, y)) for x in xs for y in ys if lev(x, y) <= t} for t in range(5)}
+    for t in range(5):
+        got = {(r.x, r.y, r.score) for r in N.deletion_pairs(left, right, t).collect()}
+        assert got == want[t], t
+    old = N.DELETION_MAX_T
+    try:
+        N.DELETION_MAX_T = -1   # force the segment/band join for small t too
+        for t in range(5):
+            got = {(r.x, r.y, r.score) for r in N.threshold_pairs(left, right, t).collect()}
+            assert got == want[t], t
+    finally:
+        N.DELETION_MAX_T = old
