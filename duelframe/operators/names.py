@@ -67,9 +67,10 @@ def deletion_pairs(left: DataFrame, right: DataFrame, t: int, x: str = "x", y: s
                                                      *blk, "score")
 
 
-# Deletion variants stay long (and their keys selective) while t is small;
-# measured on 66k x 17k whole-text words: t <= 4 by deletions took 68 s
-# for the first three rounds where length bands took 185 s.
+# Deletion variants of short strings stay few and selective while t is small;
+# measured on 66k x 17k whole-text words: rounds t <= 4 by deletions took
+# 68 s where length bands took 185 s.  Long strings keep the segment join:
+# deletion variants would grow as C(L, t).
 DELETION_MAX_T = 4
 
 
@@ -79,33 +80,42 @@ def threshold_pairs(left: DataFrame, right: DataFrame, t: int, x: str = "x",
     """All (x, y, score) with levenshtein(x, y) <= t (both inputs distinct names).
 
     With ``block`` columns (present on both sides) only pairs of the same
-    block are considered; they are part of every join key.  For t <=
-    ``DELETION_MAX_T`` the deletion-neighbourhood join is used (short names
-    would otherwise fall back to length bands at once).
+    block are considered; they are part of every join key.  Indexed
+    strings long enough for segments of ``min_segment`` characters use the
+    segment join; shorter ones use deletion variants when t <=
+    ``DELETION_MAX_T`` (few variants for a short string), else a length band.
 
     Lengths L with segments shorter than ``min_segment`` (L < min_segment·(t+1))
     are matched by length alone (every y of that length is a candidate): the
     segment filter would be no sharper there and only multiply join rows.
     """
-    if t <= DELETION_MAX_T:
-        return deletion_pairs(left, right, t, x, y, block)
     band_below = min_segment * (t + 1)
+    use_del = t <= DELETION_MAX_T
     blk = list(block)
     ry = right.select(F.col(y).alias("_y"), *blk).withColumn("_L", F.length("_y"))
     start, length = _segments(F.col("_L"), t)
-    seg_idx = F.when(F.col("_L") < band_below, F.array(F.lit(-1))) \
-               .otherwise(F.sequence(F.lit(0), F.lit(t)))
-    ry = ry.withColumn("_i", F.explode(seg_idx))
-    ry = ry.select("_y", *blk, "_L", "_i",
-                   F.when(F.col("_i") < 0, F.lit(""))
-                    .otherwise(F.substr("_y", start(F.col("_i")) + 1, length(F.col("_i"))))
-                    .alias("_seg"))
+    short = F.col("_L") < band_below
+    long_y = ry.filter(~short).withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(t))))
+    long_y = long_y.select("_y", *blk, "_L", "_i",
+                           F.substr("_y", start(F.col("_i")) + 1, length(F.col("_i"))).alias("_seg"))
+    if use_del:   # short y: deletion variants (a short string has few of them)
+        short_y = ry.filter(short).select("_y", *blk, F.lit(-1).alias("_L"), F.lit(-2).alias("_i"),
+                                          F.explode(_deletions(F.col("_y"), t)).alias("_seg"))
+    else:         # short y: every y of the length is a candidate
+        short_y = ry.filter(short).select("_y", *blk, "_L", F.lit(-1).alias("_i"),
+                                          F.lit("").alias("_seg"))
+    ry = long_y.unionByName(short_y)
 
     lx = left.select(F.col(x).alias("_x"), *blk).withColumn("_Lx", F.length("_x"))
     lx = lx.withColumn("_L", F.explode(F.sequence(F.greatest(F.col("_Lx") - t, F.lit(0)),
                                                   F.col("_Lx") + t)))
-    band = lx.filter(F.col("_L") < band_below).select(
-        "_x", *blk, "_L", F.lit(-1).alias("_i"), F.lit("").alias("_seg"))
+    if use_del:   # x whose length band reaches short y: its deletion variants, once
+        band = (lx.filter(F.col("_L") < band_below).select("_x", *blk).distinct()
+                  .select("_x", *blk, F.lit(-1).alias("_L"), F.lit(-2).alias("_i"),
+                          F.explode(_deletions(F.col("_x"), t)).alias("_seg")))
+    else:
+        band = lx.filter(F.col("_L") < band_below).select(
+            "_x", *blk, "_L", F.lit(-1).alias("_i"), F.lit("").alias("_seg"))
     lx = lx.filter(F.col("_L") >= band_below)
     lx = lx.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(t))))
     start, length = _segments(F.col("_L"), t)
