@@ -21,6 +21,7 @@ from duelframe.operators.aggs import (  # noqa: F401  A1-A10, A13-A15, A20
     has_null, label_correlation, mean_over_runs, median_over_folds, null_profile, null_totals,
     shape, value_counts, value_counts_multi,
 )
+from duelframe.operators.bouts import combine_bouts  # noqa: F401  the joining flow (SURVEY 3.1)
 from duelframe.operators.joins import (  # noqa: F401  J1-J6, J8-J13, A11, A12
     argmin, best_match_join, broadcast_if_small, dedupe_first, forward_date,
     forward_date_join, join_suffixed, location_join, lookup, pair_join, reattach, unmatched,

@@ -170,6 +170,9 @@ def best_match_join(left: DataFrame, right: DataFrame, left_id, right_id,
     rw, rl = right_names
     blocked = forward_date(left, right, left_date, right_date, max_days, "match_date")
     payload = [c for c in right_cols if c not in rids]
+    if "date" in payload or "cost" in payload:
+        raise ValueError("rename right columns 'date' / 'cost': they would clash with "
+                         "match_date / match_cost")
     rprof = (right.groupBy(F.col(right_date).cast("date").alias("_bd"),
                            F.col(rw).alias("_rw"), F.col(rl).alias("_rl"))
                   .agg(F.min(F.struct(*[F.col(c).alias(f"_rid_{c}") for c in rids],
