@@ -34,3 +34,14 @@ def test_combine_bouts(spark):
     assert out[4].location_elevation is None
     assert out[1].R_home_elevation == 100.0 and out[3].R_home_elevation == 5.0
     assert out[2].B_home_elevation is None
+
+
+def test_combine_bouts_without_dimensions(spark):
+    bouts = spark.createDataFrame([(1, D(2020, 1, 1), "A B", "C D", "Red", "x")],
+                                  "bout_id int, date date, R_name string, B_name string, "
+                                  "Winner string, location string")
+    cards = spark.createDataFrame([(5, D(2020, 1, 1), "c d", "a b", "ko")],
+                                  "card_id int, date date, winner string, loser string, method string")
+    r = combine_bouts(bouts, cards).collect()
+    assert len(r) == 1 and r[0].sc_card_id == 5 and r[0].sc_match == "exact"
+    assert "R_home_elevation" not in r[0].asDict() and "location_elevation" not in r[0].asDict()
