@@ -293,3 +293,41 @@ def q_winner_loser(spark, sf_dir):
         F.col("B_key").cast("string").alias("B_name"), "Winner")
     return winner_loser(v).select("l_orderkey", "l_linenumber", "Winner", "winner_name",
                                   "loser_name")
+
+
+@register("combined_bouts", None)
+def q_combined_bouts(spark, sf_dir):
+    """SURVEY 3.1 in one plan (combine_bouts): orders as bouts (customer vs its
+    nation), shipments as independently dated scorecards, nation locations as
+    venues, customer balances as home values.  Rows-only: every step has its
+    own oracle above (J1-J6, J8, J3, A11)."""
+    from duelframe.operators.bouts import combine_bouts
+
+    o = table(spark, sf_dir, "orders")
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    # nation (25 rows) and region (5 rows) are fixed-size dimensions
+    nr = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select(
+        "n_nationkey", "n_name", F.concat_ws(", ", "n_name", "r_name").alias("location"),
+        (F.col("n_nationkey") * 10.5).alias("location_elevation"))
+    cust = c.join(F.broadcast(nr), c.c_nationkey == nr.n_nationkey).select(
+        "c_custkey", "c_name", "n_name", "location")
+    outcome = (F.when(F.col("o_orderstatus") == "F", "Red")
+                .when(F.col("o_orderstatus") == "O", "Blue").otherwise("Draw"))
+    bouts = o.join(cust, o.o_custkey == cust.c_custkey).select(
+        F.col("o_orderkey").alias("bout_id"), F.col("o_orderdate").cast("date").alias("date"),
+        F.col("c_name").alias("R_name"), F.col("n_name").alias("B_name"),
+        outcome.alias("Winner"), "location")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate",
+                                                 "l_returnflag")
+    cards = (li.join(o.select("o_orderkey", "o_custkey"), li.l_orderkey == o.o_orderkey)
+               .join(cust, F.col("o_custkey") == cust.c_custkey)
+               .select((F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("card_id"),
+                       F.col("l_shipdate").cast("date").alias("date"),
+                       F.col("c_name").alias("winner"), F.col("n_name").alias("loser"),
+                       F.col("l_returnflag").alias("method")))
+    homes = c.select(F.col("c_name").alias("name"), F.col("c_acctbal").alias("elevation"))
+    out = combine_bouts(bouts, cards, nr.select("location", "location_elevation"), homes)
+    return out.select("bout_id", "date", "location_elevation", "sc_card_id", "sc_date",
+                      "sc_match", "R_home_elevation", "B_home_elevation")
