@@ -295,12 +295,58 @@ def q_winner_loser(spark, sf_dir):
                                   "loser_name")
 
 
-@register("combined_bouts", None)
+_CB_NORM_R = S.normalize_name("R_name")
+_CB_NORM_B = S.normalize_name("B_name")
+_CB_NORM_W = S.normalize_name("winner")
+_CB_NORM_L = S.normalize_name("loser")
+_COMBINED_SQL = f"""
+WITH cust AS (SELECT c_custkey, c_name, n_name, n_nationkey, concat_ws(', ', n_name, r_name) AS location
+              FROM customer JOIN nation ON c_nationkey = n_nationkey
+              JOIN region ON n_regionkey = r_regionkey),
+b AS (SELECT o_orderkey AS bout_id, CAST(o_orderdate AS DATE) AS date, c_name AS R_name, n_name AS B_name,
+             CASE o_orderstatus WHEN 'F' THEN 'Red' WHEN 'O' THEN 'Blue' ELSE 'Draw' END AS Winner,
+             location
+      FROM orders JOIN cust ON o_custkey = c_custkey),
+cards AS (SELECT l_orderkey * 100 + l_linenumber AS card_id, CAST(l_shipdate AS DATE) AS date,
+                 c_name AS winner, n_name AS loser
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN cust ON o_custkey = c_custkey),
+bk AS (SELECT *, {S.pair_key(_CB_NORM_R, _CB_NORM_B)} AS k FROM b),
+ck AS (SELECT card_id, date, {S.pair_key(_CB_NORM_W, _CB_NORM_L)} AS k FROM cards),
+ex AS (SELECT k, date, min(card_id) AS card_id FROM ck GROUP BY k, date),
+exact AS (SELECT bk.bout_id, ex.card_id, ex.date AS cdate FROM bk JOIN ex ON bk.k = ex.k AND bk.date = ex.date),
+dates AS (SELECT DISTINCT date FROM cards),
+todo AS (SELECT bout_id, date,
+                CASE WHEN Winner = 'Red' THEN R_name ELSE B_name END AS wn,
+                CASE WHEN Winner = 'Blue' THEN R_name ELSE B_name END AS ln
+         FROM b WHERE bout_id NOT IN (SELECT bout_id FROM exact)),
+blk AS (SELECT *, CASE WHEN date IN (SELECT date FROM dates) THEN date
+                       WHEN date + 1 IN (SELECT date FROM dates) THEN date + 1 END AS md FROM todo),
+cand AS (SELECT blk.bout_id, cards.card_id, cards.date AS cdate,
+                row_number() OVER (PARTITION BY blk.bout_id
+                                   ORDER BY (levenshtein(cards.winner, blk.wn) + levenshtein(cards.loser, blk.ln)) / 2.0,
+                                            cards.card_id) AS rk
+         FROM blk JOIN cards ON cards.date = blk.md),
+fz AS (SELECT bout_id, card_id, cdate FROM cand WHERE rk = 1),
+homes AS (SELECT {S.normalize_name("c_name")} AS hn, min(c_acctbal) AS he FROM customer GROUP BY hn)
+SELECT b.bout_id, b.date, CAST(cust_n.n_nationkey AS DOUBLE) * 10.5 AS location_elevation,
+       coalesce(exact.card_id, fz.card_id) AS sc_card_id, coalesce(exact.cdate, fz.cdate) AS sc_date,
+       CASE WHEN exact.card_id IS NOT NULL THEN 'exact' WHEN fz.card_id IS NOT NULL THEN 'fuzzy' END AS sc_match,
+       hr.he AS R_home_elevation, hb.he AS B_home_elevation
+FROM b
+LEFT JOIN (SELECT DISTINCT n_nationkey, location FROM cust) cust_n ON cust_n.location = b.location
+LEFT JOIN exact ON exact.bout_id = b.bout_id
+LEFT JOIN fz ON fz.bout_id = b.bout_id
+LEFT JOIN homes hr ON hr.hn = {S.normalize_name("b.R_name")}
+LEFT JOIN homes hb ON hb.hn = {S.normalize_name("b.B_name")}
+"""
+
+
+@register("combined_bouts", _COMBINED_SQL)
 def q_combined_bouts(spark, sf_dir):
     """SURVEY 3.1 in one plan (combine_bouts): orders as bouts (customer vs its
     nation), shipments as independently dated scorecards, nation locations as
     venues, customer balances as home values.  Rows-only: every step has its
-    own oracle above (J1-J6, J8, J3, A11)."""
+    own oracle above (J1-J6, J8, J3, A11) and the whole flow has one too."""
     from duelframe.operators.bouts import combine_bouts
 
     o = table(spark, sf_dir, "orders")
