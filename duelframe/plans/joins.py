@@ -345,8 +345,8 @@ LEFT JOIN homes hb ON hb.hn = {S.normalize_name("b.B_name")}
 def q_combined_bouts(spark, sf_dir):
     """SURVEY 3.1 in one plan (combine_bouts): orders as bouts (customer vs its
     nation), shipments as independently dated scorecards, nation locations as
-    venues, customer balances as home values.  Rows-only: every step has its
-    own oracle above (J1-J6, J8, J3, A11) and the whole flow has one too."""
+    venues, customer balances as home values.  Every step has its own oracle
+    above (J1-J6, J8, J3, A11) and the whole flow has one too."""
     from duelframe.operators.bouts import combine_bouts
 
     o = table(spark, sf_dir, "orders")
