@@ -4,16 +4,8 @@ Importing this package registers every query; ``registry.QUERIES`` maps a
 name to ``(callable(spark, sf_dir) -> DataFrame, oracle SQL or None)``.
 """
 
-import importlib
-
 from duelframe.plans import registry  # noqa: F401
-
-_MODULES = ["careers", "keys_text", "projections", "joins", "aggregates", "ordering",
-            "reshaping", "sources", "prep", "metrics", "models", "pages", "names"]
-
-for _m in _MODULES:
-    try:
-        importlib.import_module(f"duelframe.plans.{_m}")
-    except ModuleNotFoundError as exc:  # module not written yet
-        if exc.name != f"duelframe.plans.{_m}":
-            raise
+from duelframe.plans import (  # noqa: F401  (import = registration)
+    careers, keys_text, projections, joins, aggregates, ordering, reshaping, sources, prep,
+    metrics, models, pages, names,
+)
