@@ -42,6 +42,12 @@ def combine_bouts(bouts: DataFrame, cards: DataFrame, locations: DataFrame | Non
     exact = pair_join(out, cards1, (red, blue), (card_winner, card_loser), date, card_date)
     exact = exact.drop("_pair_key").withColumn(
         "sc_match", F.when(F.col("sc_" + card_id).isNotNull(), F.lit("exact")))
+    # read twice below (fuzzy input and update target): written once instead of
+    # re-running the location join, the key normalisation and the pair join
+    from duelframe.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(bouts.sparkSession)
+    exact = exact.checkpoint(eager=True)
     # fuzzy pass for bouts without an exact scorecard (raw names, as recorded)
     todo = winner_loser(exact.filter(F.col("sc_" + card_id).isNull()).select(
         bout_id, date, red, blue, outcome), red, blue, outcome)
