@@ -3,8 +3,9 @@
 Every vector gets, per tree, a string of ``BITS`` random-hyperplane bits; a
 tree is the sorted array of its strings, so all strings with a given prefix
 are one slice.  A query descends each tree to its longest matching prefix and
-then all trees ascend together, one bit at a time, until the slices hold
-``share`` of the rows; the rows found are scored by exact cosine.
+then all trees ascend together, one bit at a time, until their slices hold
+``share`` times the rows of the block, a row counted once per slice; the rows
+found are scored by exact cosine.
 
 Index rows are dealt by hash into blocks of about ``block_rows`` and the
 stated query set into blocks of ``query_rows``; every pair of blocks is one
@@ -23,10 +24,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BITS = 32
-TREES = 24
+TREES = 48
 BLOCK_ROWS = 8192
 QUERY_ROWS = 2048
-SHARE = 0.9
+SHARE = 1.5
 
 
 def hash_strings(x: np.ndarray, trees: int, seed: int = 0) -> np.ndarray:
@@ -84,7 +85,7 @@ def _block_search(q: pd.DataFrame, rows: pd.DataFrame, k: int, trees: int, share
         ids, norm, qnorm = rows["id"].to_numpy(), np.sqrt((x * x).sum(axis=1)), np.sqrt((y * y).sum(axis=1))
         unit = x / norm[:, None]
         forest = Forest(unit, trees)
-        wanted = int(np.ceil(share * len(rows) * trees / 4))
+        wanted = int(np.ceil(share * len(rows)))
         for n, found in enumerate(forest.candidates(y / qnorm[:, None], wanted)):
             mine = int(q["id"].iloc[n])
             found = found[ids[found] != mine]
