@@ -64,7 +64,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, size: int = 2048, ope
         windows, waiting = None, None
         code = encoder(tokenizer)
         for batch in batches:
-            for part in text_chunks(batch, "dfx_text"):
+            for part in text_chunks(batch, "dfx_text", 8 << 20):
                 if windows is None:
                     pid = part.column(2)[0].as_py()
                     windows = Windows(size, open_windows, pid << 40)
@@ -120,7 +120,7 @@ def merge_open(left: DataFrame, size: int, open_windows: int) -> DataFrame:
     """
     import pandas as pd
 
-    def meet(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def meet(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["used", "to_seq", "dfx_seq"], ascending=[False, True, True], kind="stable")
         heads = rows.drop_duplicates("to_seq")
         windows, place, fill = Windows(size, 1 << 30, 0), {}, {}

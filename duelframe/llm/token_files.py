@@ -96,7 +96,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
         code, writer = encoder(tokenizer), None
         fs, top = open_fs(folder)
         for batch in batches:
-            for part in text_chunks(batch, "dfx_text"):
+            for part in text_chunks(batch, "dfx_text", 8 << 20):
                 if writer is None:
                     pid, first = part.column(2)[0].as_py(), 0
                     name = f"ids-{pid:06d}.arrow"
