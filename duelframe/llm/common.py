@@ -36,14 +36,14 @@ def open_fs(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def text_chunks(batch: pa.RecordBatch, column: str, limit: int = 4 << 20):
-    """Slices of a batch whose texts hold about ``limit`` bytes each (one row at least)."""
+def text_chunks(batch: pa.RecordBatch, column: str, limit: int = 4 << 20, rows: int = 10_000):
+    """Slices of a batch whose texts hold about ``limit`` bytes each (one row at least, ``rows`` at most)."""
     import pyarrow.compute as pc
 
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start = held = 0
     for i, n in enumerate(sizes):
-        if i > start and held + n > limit:
+        if i > start and (held + n > limit or i - start == rows):
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += n

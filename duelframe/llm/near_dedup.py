@@ -93,7 +93,7 @@ def sketched(docs: DataFrame, id_col: str, text_col: str, width: int, bins: int,
     """id, set size, set digest and band keys (null for an empty set) of every row."""
     def run(batches):
         for batch in batches:
-            for part in text_chunks(batch, "dfx_text"):
+            for part in text_chunks(batch, "dfx_text", 1 << 20, 2048):
                 h, bounds = _sets(part.column(1), width)
                 d1, d2 = _digest(h, bounds)
                 n = np.diff(bounds)
@@ -113,7 +113,7 @@ def full_sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFr
     """The digest and the sorted distinct shingle hashes of every row."""
     def run(batches):
         for batch in batches:
-            for part in text_chunks(batch, "dfx_text", 1 << 20):
+            for part in text_chunks(batch, "dfx_text", 1 << 20, 2048):
                 h, bounds = _sets(part.column(0), width)
                 d1, d2 = _digest(h, bounds)
                 lists = pa.LargeListArray.from_arrays(pa.array(bounds), pa.array(h.view(np.int64)))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 
-BLOCK = 4 << 20                       # bytes hashed at once
+BLOCK = 1 << 20                       # bytes hashed at once
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 
