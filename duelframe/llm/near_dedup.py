@@ -14,17 +14,22 @@ at 0.3 is proposed with 4e-3.
 Verification: documents with the same shingle set are one class.  Every band
 bucket names one hub, the class with most bucket mates, and its members are
 verified against it on their full shingle sets, which links m classes with
-m - 1 comparisons.  A hub was compared with all members of its bucket outside
-its own component, so it leaves the bucket; buckets whose members all lie in
-one component are done.  What is left after ``hub_rounds`` rounds is compared
-pair by pair across components, so no candidate goes untested.
+m - 1 comparisons; a second hub is taken from outside the first one's
+component.  Buckets whose members all lie in one component are done.  In the
+others a class x that failed against the first hub u may still be linked with
+a member y of another component.  Let D be a set's symmetric difference with
+u.  As x failed, such a link needs D(x) and D(y) to share at least
+t = (|D(y)| + q * (|u| - |y|)) / 2 shingles, q = (100 - percent) / (100 + percent),
+so the |D(y)| - t + 1 rarest shingles of D(y) must meet D(x).  Joining those
+finds every remaining pair without listing the pairs of a group: copies that
+differ from the hub each in their own way share no rare shingle.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from duelframe.llm import shingles as sh
@@ -125,24 +130,53 @@ def full_sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFr
     return cols.mapInArrow(run, "dfx_n long, dfx_d1 long, dfx_d2 long, dfx_set array<long>")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v) of classes with 100 * intersection >= percent * union."""
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (u, v, ...) with the shingle sets su and sv."""
     a = sets.select(F.col("dfx_c").alias("u"), F.col("dfx_set").alias("su"))
     b = sets.select(F.col("dfx_c").alias("v"), F.col("dfx_set").alias("sv"))
-    both = F.size(F.array_intersect("su", "sv"))
-    j = pairs.join(b, "v").join(a, "u")
-    return (j.withColumn("both", both)
-            .filter(F.lit(100) * F.col("both") >= F.lit(percent) * (F.size("su") + F.size("sv") - F.col("both")))
-            .select("u", "v"))
-
-
-def _sized(a: str, b: str, percent: int):
-    """Sets whose sizes alone rule the threshold out are no pair."""
-    return ((F.lit(100) * F.least(a, b)) >= (F.lit(percent) * F.greatest(a, b)))
+    return pairs.join(b, "v").join(a, "u")
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(u, v, nu, nv, apart, linked): size of the symmetric difference and whether the pair is a link."""
+    both = F.size(F.array_intersect("su", "sv")).cast("long")
+    j = _with_sets(pairs.select("u", "v"), sets).select(
+        "u", "v", F.size("su").cast("long").alias("nu"), F.size("sv").cast("long").alias("nv"), both.alias("both"))
+    union = F.col("nu") + F.col("nv") - F.col("both")
+    return j.select("u", "v", "nu", "nv", (union - F.col("both")).alias("apart"),
+                    (F.lit(100) * F.col("both") >= F.lit(percent) * union).alias("linked"))
+
+
+def _relabelled(live: DataFrame, labels: DataFrame, name: str) -> DataFrame:
+    """Members of the buckets that still hold two components, with the labels of now."""
+    live = live.drop("lab").join(labels, live["c"] == labels["id"], "left").withColumn(
+        "lab", F.coalesce("lab", "c")).drop("id")
+    mixed = live.groupBy("key").agg(F.min("lab").alias("lo"), F.max("lab").alias("hi")).filter("lo < hi")
+    return written(live.join(mixed.select("key"), "key", "left_semi"), name)
+
+
+def _by_difference(live: DataFrame, first: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that may still be links, by what sets them apart from their hub."""
+    q = (100 - percent) / (100 + percent)
+    group = live.select("hub", "c", "lab").distinct()
+    rows = first.join(group, (first["u"] == group["hub"]) & (first["v"] == group["c"])).drop("hub", "c")
+    apart = F.concat(F.array_except("su", "sv"), F.array_except("sv", "su"))
+    cells = _with_sets(rows, sets).select(
+        "u", "v", "nu", "nv", "apart", "linked", "lab", F.explode(apart).alias("e"))
+    cells = written(cells, "near-apart")
+    seen = cells.groupBy("u", "e").agg(F.count(F.lit(1)).alias("seen"))
+    shared = F.ceil((F.col("apart") + q * (F.col("nu") - F.col("nv"))) / 2 - 1e-6)
+    rarest = Window.partitionBy("u", "v").orderBy("seen", "e")
+    some = cells.join(seen, ["u", "e"]).withColumn("rn", F.row_number().over(rarest))
+    some = some.filter((F.col("rn") <= F.col("apart") - shared + 1) & (F.col("seen") > 1)).select(
+        "u", "e", F.col("v").alias("y"), F.col("lab").alias("ly"))
+    failed = cells.filter(~F.col("linked")).select("u", "e", F.col("v").alias("x"), F.col("lab").alias("lx"))
+    met = some.join(failed, ["u", "e"]).filter("x <> y and lx <> ly")
+    return met.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct()
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
-               percent: int = 80, bins: int = 512, bands: int = 64, hub_rounds: int = 3) -> DataFrame:
+               percent: int = 80, bins: int = 512, bands: int = 64) -> DataFrame:
     """One row per input row: id, n_shingles, component_id, raw_hash (of the text as it was), kept.
 
     Null, empty and word-less texts have an empty set, are their own
@@ -178,33 +212,29 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sets = full_sets(texts, "dfx_id", "dfx_text", width).join(cand.drop("dfx_id"), CLASS)
     sets = written(sets.select("dfx_c", "dfx_set").dropDuplicates(["dfx_c"]), "near-sets")
 
-    labels, links, live = None, None, members
-    for turn in range(hub_rounds + 1):
-        last = turn == hub_rounds
-        if labels is not None:
-            live = live.drop("lab").join(labels, live["c"] == labels["id"], "left").select(
-                "key", "c", "n", "w", F.coalesce("lab", "c").alias("lab"))
-            mixed = live.groupBy("key").agg(F.min("lab").alias("lo"), F.max("lab").alias("hi")).filter("lo < hi")
-            live = written(live.join(mixed.select("key"), "key", "left_semi"), f"near-live{turn}")
-            if live.isEmpty():
-                break
-        else:
-            live = live.withColumn("lab", F.col("c"))
-        if last:
-            a = live.select("key", F.col("c").alias("u"), F.col("n").alias("nu"), F.col("lab").alias("lu"))
-            b = live.select("key", F.col("c").alias("v"), F.col("n").alias("nv"), F.col("lab").alias("lv"))
-            pairs = a.join(b, "key").filter("u < v and lu <> lv")
-        else:
-            hubs = live.groupBy("key").agg(F.max(F.struct("w", F.negative("c").alias("b"), "n", "lab")).alias("h"))
-            hubs = hubs.select("key", F.negative("h.b").alias("u"), F.col("h.n").alias("nu"), F.col("h.lab").alias("lu"))
-            met = live.join(hubs, "key")
-            pairs = met.filter("c <> u and lab <> lu").select("u", "nu", F.col("c").alias("v"), F.col("n").alias("nv"))
-            live = met.filter("c <> u").select("key", "c", "n", "w", "lab")
-        pairs = pairs.filter(_sized("nu", "nv", percent)).select(
-            F.least("u", "v").alias("v"), F.greatest("u", "v").alias("u")).distinct()
-        found = written(_verified(pairs, sets, percent), f"near-links{turn}")
-        links = found if links is None else links.unionByName(found)
-        labels = connected_components(links.select("u", "v"))
+    hubs = members.groupBy("key").agg(F.max_by("c", F.struct("w", F.negative("c"))).alias("hub"))
+    live = members.join(hubs, "key").withColumn("lab", F.col("c"))
+    pairs = live.filter("c <> hub").select(F.col("hub").alias("u"), F.col("c").alias("v")).distinct()
+    first = written(_compared(pairs, sets, percent), "near-first")
+    links = first.filter("linked").select("u", "v")
+    labels = connected_components(links)
+
+    live = _relabelled(live, labels, "near-live1")
+    if not live.isEmpty():                                 # a second hub, from another component than the first
+        near = live.join(labels.select(F.col("id").alias("hub"), F.col("lab").alias("hublab")), "hub", "left").withColumn(
+            "hublab", F.coalesce("hublab", "hub"))
+        second = near.filter("lab <> hublab").groupBy("key").agg(
+            F.max_by(F.struct("c", "lab"), F.struct("w", F.negative("c"))).alias("h"))
+        pairs = live.join(second, "key").filter("lab <> h.lab and c <> hub").select(
+            F.col("h.c").alias("u"), F.col("c").alias("v")).distinct()
+        found = written(_compared(pairs, sets, percent).filter("linked").select("u", "v"), "near-second")
+        links = links.unionByName(found)
+        labels = connected_components(links)
+        live = _relabelled(live, labels, "near-live2")
+    if not live.isEmpty():                                 # exactly the rest
+        pairs = _by_difference(live, first, sets, percent)
+        found = written(_compared(pairs, sets, percent).filter("linked").select("u", "v"), "near-rest")
+        labels = connected_components(links.unionByName(found))
     return _result(rows, classes, labels, id_col)
 
 
