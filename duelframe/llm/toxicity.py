@@ -13,11 +13,10 @@
    counts are left out of its words' odds.
 """
 
-from __future__ import annotations
-
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -36,7 +35,7 @@ WILD = "*#"
 
 TRAIN_ROWS = 20_000
 MODEL_WORDS = 200_000
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 PRIOR = 4.0                                           # pseudo documents behind each word's odds
 _CODE = np.full(0x2100, 63, np.uint8)                 # 0: no letter, 63: a letter outside LETTERS
 for _c in range(len(_CODE)):
@@ -213,7 +212,7 @@ def fit(sample: DataFrame, model: np.ndarray) -> dict:
     table = sample.mapInArrow(count, "f string, toxic long, clean long").groupBy("f").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     lift = (F.col("toxic") + PRIOR * rate) / (F.col("toxic") + F.col("clean") + PRIOR)
-    table = (table.withColumn("lift", lift).filter((F.col("toxic") >= 2) & (F.col("lift") > 1.8 * rate))
+    table = (table.withColumn("lift", lift).filter((F.col("toxic") >= 2) & (F.col("lift") > 3 * rate))
              .orderBy(F.desc("lift"), "f").limit(MODEL_WORDS).toPandas())
     counts = {f: (t, c) for f, t, c in zip(table["f"], table["toxic"], table["clean"])}
 
@@ -251,28 +250,15 @@ def score(docs: DataFrame, model: np.ndarray, fitted: dict, id_col: str = "doc_i
     """All columns of ``docs`` and ``dfx_score``."""
     shared = docs.sparkSession.sparkContext.broadcast((model, fitted))    # 1 MB and MODEL_WORDS words at most
 
-    def run(column: pd.Series) -> pd.Series:
-        lm, fit_ = shared.value
-        scorer = _scorer(lm, fit_)
-        return column.map(scorer)
+    def run(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = Scorer(*shared.value)                 # its word cache goes with the task
+        for column in columns:
+            yield column.map(scorer)
 
     marked = F.pandas_udf(run, "double")
     return docs.withColumn("dfx_score", marked(F.coalesce(F.col(text_col), F.lit(""))))
 
 
-_SCORERS: dict[int, object] = {}
-
-
-def _scorer(model: np.ndarray, fitted: dict):
-    """A function from text to score; one per worker and model, with its word cache."""
-    key = id(fitted)
-    if key in _SCORERS and _SCORERS[key].fitted is fitted:
-        return _SCORERS[key]
-    _SCORERS.clear()
-    _SCORERS[key] = Scorer(model, fitted)
-    return _SCORERS[key]
-
-
 class Scorer:
     def __init__(self, model: np.ndarray, fitted: dict):
         self.restorer, self.fitted = Restorer(model), fitted
