@@ -167,18 +167,18 @@ def _by_difference(live: DataFrame, first: DataFrame, sets: DataFrame, percent:
     seen = cells.groupBy("u", "e").agg(F.count(F.lit(1)).alias("seen"))
     shared = F.ceil((F.col("apart") + q * (F.col("nu") - F.col("nv"))) / 2 - 1e-6)
     rarest = Window.partitionBy("u", "v").orderBy("seen", "e")
-    some = cells.join(seen, ["u", "e"]).withColumn("rn", F.row_number().over(rarest))
-    taken = (F.col("apart") - shared + 1).alias("taken")
-    some = some.filter((F.col("rn") <= taken) & (F.col("seen") > 1)).select(
-        "u", "e", F.col("v").alias("y"), F.col("nv").alias("ny"), F.col("apart").alias("ay"), F.col("lab").alias("ly"), taken)
-    failed = cells.filter(~F.col("linked")).select(
-        "u", "e", F.col("v").alias("x"), F.col("nv").alias("nx"), F.col("apart").alias("ax"), F.col("lab").alias("lx"))
-    # both differences together bound what the pair can share: what met, and what of D(y) was not taken
-    need = (F.col("ax") + F.col("ay") - q * (F.col("nx") + F.col("ny"))) / 2 - 1e-6
-    most = F.least("ax", "ay")
-    met = some.join(failed, ["u", "e"]).filter((F.col("x") != F.col("y")) & (F.col("lx") != F.col("ly")) & (most >= need))
-    met = met.groupBy("u", "x", "y").agg(F.count(F.lit(1)).alias("met"), F.first(F.col("ay") - F.col("taken") - need).alias("rest"))
-    met = met.filter(F.col("met") + F.col("rest") >= 0).select("x", "y")
+    ranked = cells.join(seen, ["u", "e"]).withColumn("rn", F.row_number().over(rarest)).filter("seen > 1")
+    some = ranked.filter(F.col("rn") <= F.col("apart") - shared + 1).select(
+        "u", "e", F.col("v").alias("y"), F.col("nv").alias("ny"), F.col("apart").alias("ay"), F.col("lab").alias("ly"),
+        F.col("rn").alias("ry"))
+    failed = ranked.filter(~F.col("linked")).select(
+        "u", "e", F.col("v").alias("x"), F.col("nv").alias("nx"), F.col("apart").alias("ax"), F.col("lab").alias("lx"),
+        F.col("rn").alias("rx"))
+    # of ``need`` shared shingles the rarest has need - 1 after it on both sides
+    need = F.ceil((F.col("ax") + F.col("ay") - q * (F.col("nx") + F.col("ny"))) / 2 - 1e-6)
+    met = some.join(failed, ["u", "e"]).filter(
+        (F.col("x") != F.col("y")) & (F.col("lx") != F.col("ly"))
+        & (F.col("ry") <= F.col("ay") - need + 1) & (F.col("rx") <= F.col("ax") - need + 1))
     return met.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct()
 
 
