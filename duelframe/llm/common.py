@@ -49,3 +49,33 @@ def text_chunks(batch: pa.RecordBatch, column: str, limit: int = 4 << 20, rows:
         held += n
     if start < batch.num_rows:
         yield batch.slice(start)
+
+
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of BATCH_ROWS rows at most for this session: 10,000 long texts would fill a worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def merged_chunks(batches, column: str, limit: int):
+    """Arrow batches put together or cut until their texts hold about ``limit`` bytes."""
+    held, size = [], 0
+    for batch in batches:
+        for part in text_chunks(batch, column, limit):
+            n = part.column(column).nbytes
+            if held and size + n > limit:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, size = [], 0
+            held.append(part)
+            size += n
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def tidy() -> None:
+    """Gives a finished task's free Arrow memory back, as Spark keeps the worker."""
+    pa.default_memory_pool().release_unused()

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duelframe.llm.common import text_chunks
+from duelframe.llm.common import small_batches, text_chunks
 from duelframe.llm.page_samples import PAGES
 
 # HTML element names and words of class names.
@@ -233,6 +233,7 @@ def main_text(page: str | None, tree) -> str:
 
 def extract(pages: DataFrame, html_col: str = "html", text_col: str = "dfx_main") -> DataFrame:
     """All columns of ``pages`` and the main text of each row, from the whole html."""
+    small_batches(pages.sparkSession)
     tree = train_tree(*labelled_blocks())
     names = pages.columns
 

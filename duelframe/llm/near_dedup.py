@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from duelframe.llm import shingles as sh
-from duelframe.llm.common import text_chunks, written
+from duelframe.llm.common import small_batches, text_chunks, tidy, written
 from duelframe.llm.components import connected_components
 from duelframe.llm.exact_dedup import kept_rows
 
@@ -108,6 +108,7 @@ def sketched(docs: DataFrame, id_col: str, text_col: str, width: int, bins: int,
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(2), pa.array(n), pa.array(d1), pa.array(d2), lists],
                     names=["dfx_id", "dfx_raw", "dfx_n", "dfx_d1", "dfx_d2", "dfx_keys"])
+        tidy()
 
     cols = docs.select(F.col(id_col).cast("long").alias("dfx_id"), F.col(text_col).alias("dfx_text"),
                        F.xxhash64(text_col).alias("dfx_raw"))
@@ -125,6 +126,7 @@ def full_sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFr
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.diff(bounds)), pa.array(d1), pa.array(d2), lists.cast(pa.list_(pa.int64()))],
                     names=["dfx_n", "dfx_d1", "dfx_d2", "dfx_set"])
+        tidy()
 
     cols = docs.select(F.col(text_col).alias("dfx_text"))
     return cols.mapInArrow(run, "dfx_n long, dfx_d1 long, dfx_d2 long, dfx_set array<long>")
@@ -192,6 +194,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     each component: the smallest id, and of rows that repeat that id any one.
     Ids are read as longs; only the id and the text are read.
     """
+    small_batches(docs.sparkSession)
     rows = sketched(docs, id_col, text_col, width, bins, bands)
     rows = written(rows.withColumn("dfx_uid", F.monotonically_increasing_id()), "near-sketch")
     some = rows.filter("dfx_n > 0")

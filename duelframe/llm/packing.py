@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duelframe.llm.common import text_chunks, written
+from duelframe.llm.common import merged_chunks, small_batches, tidy, written
 from duelframe.llm.tokens import encoder
 
 FAN_IN = 64
@@ -57,28 +57,28 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, size: int = 2048, ope
     ``size`` ids are cut; rows that repeat an id are packed as rows of their
     own.  Only the id and the text are read.  An empty table gives no piece.
     """
+    small_batches(docs.sparkSession)
     cols = docs.select(F.col(id_col).cast("long").alias("dfx_id"), F.col(text_col).alias("dfx_text"),
                        F.spark_partition_id().alias("dfx_part"))
 
     def run(batches: Iterable[pa.RecordBatch]):
         windows, waiting = None, None
         code = encoder(tokenizer)
-        for batch in batches:
-            for part in text_chunks(batch, "dfx_text", 8 << 20):
-                if windows is None:
-                    pid = part.column(2)[0].as_py()
-                    windows = Windows(size, open_windows, pid << 40)
-                ids, bounds = code.encode(part.column(1), end_id)
-                rows = {k: [] for k in ("doc", "start", "length", "total", "seq", "offset", "at")}
-                for i in range(part.num_rows):
-                    a, b = int(bounds[i]), int(bounds[i + 1])
-                    for s in range(a, b, size):
-                        n = min(size, b - s)
-                        window, offset = windows.place(n)
-                        for k, v in (("doc", i), ("start", s - a), ("length", n), ("total", b - a),
-                                     ("seq", window), ("offset", offset), ("at", s)):
-                            rows[k].append(v)
-                yield _pieces(part, rows, ids, pid, False)
+        for part in merged_chunks(batches, "dfx_text", 8 << 20):
+            if windows is None:
+                pid = part.column(2)[0].as_py()
+                windows = Windows(size, open_windows, pid << 40)
+            ids, bounds = code.encode(part.column(1), end_id)
+            rows = {k: [] for k in ("doc", "start", "length", "total", "seq", "offset", "at")}
+            for i in range(part.num_rows):
+                a, b = int(bounds[i]), int(bounds[i + 1])
+                for s in range(a, b, size):
+                    n = min(size, b - s)
+                    window, offset = windows.place(n)
+                    for k, v in (("doc", i), ("start", s - a), ("length", n), ("total", b - a),
+                                 ("seq", window), ("offset", offset), ("at", s)):
+                        rows[k].append(v)
+            yield _pieces(part, rows, ids, pid, False)
         if windows is not None:                        # which windows are still open
             left = [w for _, w in windows.open]
             k = len(left)
@@ -87,6 +87,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, size: int = 2048, ope
                  pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.array(left, pa.int64()),
                  pa.nulls(k, pa.int64()), pa.array([True] * k, pa.bool_()), pa.array([pid] * k, pa.int32())],
                 names=[f.split()[0] for f in PIECES.split(", ")])
+        tidy()
 
     pieces = written(cols.mapInArrow(run, PIECES), "pack-pieces")
     left = pieces.filter("dfx_open").select("dfx_seq", F.col("length").alias("used"), F.col("dfx_part").cast("long").alias("part"))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duelframe.llm import shingles as sh
-from duelframe.llm.common import text_chunks
+from duelframe.llm.common import small_batches, text_chunks
 from duelframe.llm.labelled import remainder, training_rows
 
 BITS = 20
@@ -123,6 +123,7 @@ def quality(docs: DataFrame, labels: DataFrame, label: str = "quality", mod: int
     labelled rows of both kinds every score is 0.5.  A null id is not held
     out.  Repeated rows are scored each.
     """
+    small_batches(docs.sparkSession)
     sample = training_rows(docs, labels, label, remainder(id_col, mod) != held, train_rows, id_col, text_col)
     out = score(docs, fit(sample), id_col, text_col)
     return out.select(id_col, F.coalesce(remainder(id_col, mod) == held, F.lit(False)).alias("held_out"), "score",

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from duelframe.llm.common import open_fs, text_chunks
+from duelframe.llm.common import merged_chunks, open_fs, small_batches, tidy
 from duelframe.llm.tokens import encoder
 
 INDEX = "dfx_id long, dfx_file string, dfx_part int, first long, n_tokens long"
@@ -86,6 +86,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     of their texts.  ``width`` must hold the vocabulary's largest id.  An
     empty table writes an empty index and no file.
     """
+    small_batches(docs.sparkSession)
     cols = docs.select(F.col(id_col).cast("long").alias("dfx_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("dfx_text"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -95,27 +96,27 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     def run(batches):
         code, writer = encoder(tokenizer), None
         fs, top = open_fs(folder)
-        for batch in batches:
-            for part in text_chunks(batch, "dfx_text", 8 << 20):
-                if writer is None:
-                    pid, first = part.column(2)[0].as_py(), 0
-                    name = f"ids-{pid:06d}.arrow"
-                    draft = f"{top}/.{name}.{uuid.uuid4().hex}"
-                    fs.create_dir(top, recursive=True)
-                    sink = fs.open_output_stream(draft)
-                    writer = SequenceWriter(sink, length, batch_rows, width)
-                ids, bounds = code.encode(part.column(1), end_id)
-                writer.add(ids)
-                n = np.diff(bounds)
-                k = part.num_rows
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([name] * k), pa.array([pid] * k, pa.int32()),
-                     pa.array(first + bounds[:-1]), pa.array(n)], names=[f.split()[0] for f in INDEX.split(", ")])
-                first += int(bounds[-1])
+        for part in merged_chunks(batches, "dfx_text", 8 << 20):
+            if writer is None:
+                pid, first = part.column(2)[0].as_py(), 0
+                name = f"ids-{pid:06d}.arrow"
+                draft = f"{top}/.{name}.{uuid.uuid4().hex}"
+                fs.create_dir(top, recursive=True)
+                sink = fs.open_output_stream(draft)
+                writer = SequenceWriter(sink, length, batch_rows, width)
+            ids, bounds = code.encode(part.column(1), end_id)
+            writer.add(ids)
+            n = np.diff(bounds)
+            k = part.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array([name] * k), pa.array([pid] * k, pa.int32()),
+                 pa.array(first + bounds[:-1]), pa.array(n)], names=[f.split()[0] for f in INDEX.split(", ")])
+            first += int(bounds[-1])
         if writer is not None:
             writer.close()
             sink.close()
             fs.move(draft, f"{top}/{name}")
+        tidy()
 
     index = f"{folder.rstrip('/')}/index"
     cols.mapInArrow(run, INDEX).write.option("compression", "zstd").parquet(index)

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_WORDS = 600_000
+CACHE_WORDS = 500_000
 #: fixed values: Latin letters without U+0130, whose lower case is two characters
 LATIN = r"A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}"
 _LOADED: dict[str, tuple] = {}

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duelframe.llm.common import text_chunks
+from duelframe.llm.common import small_batches, text_chunks, tidy
 from duelframe.llm.labelled import remainder, training_rows
 
 # The letters of the language model and the signs of the channel.
@@ -35,7 +35,7 @@ WILD = "*#"
 
 TRAIN_ROWS = 20_000
 MODEL_WORDS = 200_000
-CACHE_WORDS = 200_000
+CACHE_WORDS = 150_000
 PRIOR = 4.0                                           # pseudo documents behind each word's odds
 _CODE = np.full(0x2100, 63, np.uint8)                 # 0: no letter, 63: a letter outside LETTERS
 for _c in range(len(_CODE)):
@@ -66,6 +66,7 @@ def trigram_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
                     total += np.bincount(cell, minlength=1 << 18)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
+        tidy()
 
     cells = docs.select(F.col(text_col).alias("dfx_text")).mapInArrow(run, "cell long, n long")
     got = cells.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()      # 262,144 rows at most
@@ -254,6 +255,7 @@ def score(docs: DataFrame, model: np.ndarray, fitted: dict, id_col: str = "doc_i
         scorer = Scorer(*shared.value)                 # its word cache goes with the task
         for column in columns:
             yield column.map(scorer)
+        tidy()
 
     marked = F.pandas_udf(run, "double")
     return docs.withColumn("dfx_score", marked(F.coalesce(F.col(text_col), F.lit(""))))
@@ -299,6 +301,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod: int
     and empty texts are scored as texts without a word.  Without labelled
     rows of both kinds every score is 0.5.
     """
+    small_batches(docs.sparkSession)
     model = language_model(trigram_counts(docs, text_col))
     sample = training_rows(docs, labels, label, remainder(id_col, mod) != held, train_rows, id_col, text_col)
     fitted = fit(sample.persist(), model)
