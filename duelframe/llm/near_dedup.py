@@ -226,8 +226,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     live = members.join(hubs, "key").withColumn("lab", F.col("c"))
     pairs = live.filter("c <> hub").select(F.col("hub").alias("u"), F.col("c").alias("v")).distinct()
     first = written(_compared(pairs, sets, percent), "near-first")
-    links = first.filter("linked").select("u", "v")
-    labels = connected_components(links)
+    labels = connected_components(first.filter("linked"))
 
     live = _relabelled(live, labels, "near-live1")
     if not live.isEmpty():                                 # a second hub, from another component than the first
@@ -238,13 +237,12 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         pairs = live.join(second, "key").filter("lab <> h.lab and c <> hub").select(
             F.col("h.c").alias("u"), F.col("c").alias("v")).distinct()
         found = written(_compared(pairs, sets, percent).filter("linked").select("u", "v"), "near-second")
-        links = links.unionByName(found)
-        labels = connected_components(links)
+        labels = connected_components(found, labels)
         live = _relabelled(live, labels, "near-live2")
     if not live.isEmpty():                                 # exactly the rest
         pairs = _by_difference(live, first, sets, percent)
         found = written(_compared(pairs, sets, percent).filter("linked").select("u", "v"), "near-rest")
-        labels = connected_components(links.unionByName(found))
+        labels = connected_components(found, labels)
     return _result(rows, classes, labels, id_col)
 
 
