@@ -85,17 +85,19 @@ def _block_search(q: pd.DataFrame, rows: pd.DataFrame, k: int, trees: int, share
         ids, norm, qnorm = rows["id"].to_numpy(), np.sqrt((x * x).sum(axis=1)), np.sqrt((y * y).sum(axis=1))
         unit = x / norm[:, None]
         forest = Forest(unit, trees)
-        wanted = int(np.ceil(share * len(rows)))
+        more = k * int(rows["id"].value_counts().iloc[0])     # k rows of different ids are among so many
+        wanted = max(int(np.ceil(share * len(rows))), (more + 1) * trees)
         for n, found in enumerate(forest.candidates(y / qnorm[:, None], wanted)):
             mine = int(q["id"].iloc[n])
             found = found[ids[found] != mine]
             if not len(found):
                 continue
             near = unit[found] @ (y[n] / qnorm[n])
-            if len(found) > k:                             # the k best and whatever may tie with them
-                found = found[near >= np.partition(near, len(near) - k)[len(near) - k] - 1e-9]
+            if len(found) > more:                          # the best and whatever may tie with them
+                found = found[near >= np.partition(near, len(near) - more)[len(near) - more] - 1e-9]
             exact = (x[found] * y[n]).sum(axis=1) / (norm[found] * qnorm[n])
-            best = np.lexsort((ids[found], -exact))[:k]
+            best = np.lexsort((ids[found], -exact))
+            best = best[np.sort(np.unique(ids[found][best], return_index=True)[1])[:k]]
             out["query_id"] += [mine] * len(best)
             out["vec_id"] += ids[found][best].tolist()
             out["score"] += exact[best].tolist()

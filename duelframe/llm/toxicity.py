@@ -9,8 +9,7 @@
    Tokens without such marks have a one-path lattice and stay as they are.
 3. Score: on a bounded sample of labelled rows, document counts of words and
    word beginnings give each its shrunk log odds; a document's strongest
-   words go into a small logistic regression.  In fitting, a document's own
-   counts are left out of its words' odds.
+   words go into a small logistic regression, fitted on odds from other folds.
 """
 
 import math
@@ -36,6 +35,7 @@ WILD = "*#"
 TRAIN_ROWS = 20_000
 MODEL_WORDS = 200_000
 CACHE_WORDS = 150_000
+FOLDS, MIN_TOXIC, MIN_LIFT = 4, 2, 2.0
 PRIOR = 4.0                                           # pseudo documents behind each word's odds
 _CODE = np.full(0x2100, 63, np.uint8)                 # 0: no letter, 63: a letter outside LETTERS
 for _c in range(len(_CODE)):
@@ -183,11 +183,6 @@ def words_of(text: str, restorer: Restorer) -> set[str]:
     return out
 
 
-def _odds(toxic: float, clean: float, rate: float) -> float:
-    p = (toxic + PRIOR * rate) / (toxic + clean + PRIOR)
-    return math.log(p / (1 - p)) - math.log(rate / (1 - rate))
-
-
 def _summary(odds: list[float]) -> list[float]:
     """Intercept, the three strongest words, and how many are strong."""
     top = sorted(odds, reverse=True)[:3] + [0.0] * 3
@@ -195,37 +190,53 @@ def _summary(odds: list[float]) -> list[float]:
 
 
 def fit(sample: DataFrame, model: np.ndarray) -> dict:
-    """{"odds": word -> log odds, "beta": weights} from (dfx_id, dfx_y, dfx_text)."""
+    """{"odds": word -> log odds, "beta": weights} from (dfx_id, dfx_y, dfx_text).
+
+    Words are counted in FOLDS folds, and the regression sees every document
+    through the words and odds of the other folds only, as it will meet new
+    documents.
+    """
+    sample = sample.withColumn("dfx_fold", F.pmod(F.xxhash64(F.lit(7), "dfx_id"), F.lit(FOLDS)).cast("int"))
+    names = ("dfx_fold", "dfx_y", "dfx_text")
+
     def count(batches):
         restorer, seen = Restorer(model), Counter()
         for batch in batches:
-            for y, text in zip(batch.column("dfx_y").to_pylist(), batch.column("dfx_text").to_pylist()):
-                seen.update({(f, y) for w in words_of(text, restorer) for f in word_features(w)})
+            for fold, y, text in zip(*(batch.column(c).to_pylist() for c in names)):
+                seen.update({(f, fold, y) for w in words_of(text, restorer) for f in word_features(w)})
             if len(seen) > 500_000:
                 yield _counts(seen)
                 seen = Counter()
         yield _counts(seen)
+        tidy()
 
     n = {r["dfx_y"]: r["count"] for r in sample.groupBy("dfx_y").count().collect()}
     if not n.get(0) or not n.get(1):
         return {"odds": {}, "beta": [0.0] * 5}
     rate = n[1] / (n[0] + n[1])
-    table = sample.mapInArrow(count, "f string, toxic long, clean long").groupBy("f").agg(
-        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    lift = (F.col("toxic") + PRIOR * rate) / (F.col("toxic") + F.col("clean") + PRIOR)
-    table = (table.withColumn("lift", lift).filter((F.col("toxic") >= 2) & (F.col("lift") > 3 * rate))
-             .orderBy(F.desc("lift"), "f").limit(MODEL_WORDS).toPandas())
-    counts = {f: (t, c) for f, t, c in zip(table["f"], table["toxic"], table["clean"])}
+    cells = sample.mapInArrow(count, "f string, fold int, toxic long, clean long")
+    per_fold = [F.sum(F.when(F.col("fold") == k, F.col(c)).otherwise(0)).alias(f"{c}{k}")
+                for c in ("toxic", "clean") for k in range(FOLDS)]
+    table = cells.groupBy("f").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), *per_fold)
+    lifts = [F.when(t >= MIN_TOXIC, (t + PRIOR * rate) / (t + c + PRIOR)).otherwise(0.0) for t, c in
+             [(F.col("toxic"), F.col("clean"))] + [(F.col("toxic") - F.col(f"toxic{k}"), F.col("clean") - F.col(f"clean{k}")) for k in range(FOLDS)]]
+    table = (table.withColumn("lift", F.greatest(*lifts)).filter(F.col("lift") > MIN_LIFT * rate)
+             .orderBy(F.desc("lift"), F.desc("toxic"), "f").limit(MODEL_WORDS).toPandas())
+    total = table[["toxic", "clean"]].to_numpy(dtype=np.float64)
+    seen_in = table[[f"{c}{k}" for c in ("toxic", "clean") for k in range(FOLDS)]].to_numpy(dtype=np.float64)
+    whole = _chosen(table["f"], total[:, 0], total[:, 1], rate)
+    others = [_chosen(table["f"], total[:, 0] - seen_in[:, k], total[:, 1] - seen_in[:, FOLDS + k], rate) for k in range(FOLDS)]
 
     def left_out(batches):
         restorer = Restorer(model)
         for batch in batches:
             rows = []
-            for y, text in zip(batch.column("dfx_y").to_pylist(), batch.column("dfx_text").to_pylist()):
-                odds = [max(_odds(t - y, c - (1 - y), rate) for t, c in found) for w in words_of(text, restorer)
-                        if (found := [counts[f] for f in word_features(w) if f in counts])]
-                rows.append(_summary([o for o in odds if o > 0]) + [float(y)])
+            for fold, y, text in zip(*(batch.column(c).to_pylist() for c in names)):
+                odds = [max(found) for w in words_of(text, restorer)
+                        if (found := [others[fold][f] for f in word_features(w) if f in others[fold]])]
+                rows.append(_summary(odds) + [float(y)])
             yield pa.RecordBatch.from_pandas(pd.DataFrame(rows, columns=list("abcdey"), dtype=float), preserve_index=False)
+        tidy()
 
     xy = sample.mapInArrow(left_out, "a double, b double, c double, d double, e double, y double").toPandas().to_numpy()
     x, y = xy[:, :5], xy[:, 5]
@@ -234,17 +245,24 @@ def fit(sample: DataFrame, model: np.ndarray) -> dict:
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
         hess = (x * (p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(5)
         beta += np.linalg.solve(hess, x.T @ (y - p) - 0.05 * beta)
-    return {"odds": {f: _odds(t, c, rate) for f, (t, c) in counts.items()}, "beta": beta.tolist()}
+    return {"odds": whole, "beta": beta.tolist()}
+
+
+def _chosen(words, toxic: np.ndarray, clean: np.ndarray, rate: float) -> dict[str, float]:
+    """Log odds of the words that are frequent and toxic enough by these counts."""
+    p = (toxic + PRIOR * rate) / (toxic + clean + PRIOR)
+    keep = (toxic >= MIN_TOXIC) & (p > MIN_LIFT * rate) & (p < 1)
+    base = math.log(rate / (1 - rate))
+    return dict(zip(words[keep], (np.log(p[keep] / (1 - p[keep])) - base).tolist()))
 
 
 def _counts(seen: Counter) -> pa.RecordBatch:
-    f, toxic, clean = [], [], []
-    for (name, y), n in seen.items():
-        f.append(name)
-        toxic.append(n if y else 0)
-        clean.append(0 if y else n)
-    return pa.RecordBatch.from_arrays([pa.array(f, pa.string()), pa.array(toxic, pa.int64()), pa.array(clean, pa.int64())],
-                                      names=["f", "toxic", "clean"])
+    keys = list(seen)
+    n = np.fromiter(seen.values(), np.int64, len(keys))
+    y = np.array([k[2] for k in keys], np.int64)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array(n * y), pa.array(n * (1 - y))],
+        names=["f", "fold", "toxic", "clean"])
 
 
 def score(docs: DataFrame, model: np.ndarray, fitted: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
