@@ -51,6 +51,7 @@ def combine_bouts(bouts: DataFrame, cards: DataFrame, locations: DataFrame | Non
     # fuzzy pass for bouts without an exact scorecard (raw names, as recorded)
     todo = winner_loser(exact.filter(F.col("sc_" + card_id).isNull()).select(
         bout_id, date, red, blue, outcome), red, blue, outcome)
+    todo = todo.filter(F.col("winner_name").isNotNull())      # a draw has no winner to look for
     card_cols = [c for c in cards.columns if c != card_id]
     sc = cards.toDF(*["sc_" + c for c in cards.columns])
     best = best_match_join(todo, sc, bout_id, "sc_" + card_id, date, "sc_" + card_date,

@@ -240,10 +240,14 @@ def best_match_join(left: DataFrame, right: DataFrame, left_id, right_id,
 
 
 def update_from(df: DataFrame, patch: DataFrame, on, cols: list[str]) -> DataFrame:
-    """Overwrite ``cols`` from ``patch`` (unique on ``on``) where a row matches."""
+    """Overwrite ``cols`` from ``patch`` where a row matches.
+
+    A key that the patch holds more than once is taken once, by its smallest
+    values, so rows never fan out.
+    """
     keys = _names(on)
-    p = patch.select(*keys, *[F.col(c).alias(f"_p_{c}") for c in cols]) \
-             .withColumn("_p_hit", F.lit(True))
+    p = patch.groupBy(*keys).agg(F.min(F.struct(*[F.col(c).alias(f"_p_{c}") for c in cols])).alias("_p"))
+    p = p.select(*keys, "_p.*").withColumn("_p_hit", F.lit(True))
     out = df.join(p, keys, "left")
     for c in cols:
         out = out.withColumn(c, F.when(F.col("_p_hit"), F.col(f"_p_{c}")).otherwise(F.col(c)))

@@ -4,40 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-MAX_CLASSES = 10_000
-
-
-def _classes(df: DataFrame, y: str, yhat: str) -> list:
-    vals = (df.select(F.col(y).alias("c")).union(df.select(F.col(yhat).alias("c")))
-              .distinct().limit(MAX_CLASSES + 1).collect())
-    if len(vals) > MAX_CLASSES:
-        raise ValueError("too many classes for a confusion matrix")
-    return sorted(r["c"] for r in vals if r["c"] is not None)
 
 
 def confusion_matrix(df: DataFrame, y: str, yhat: str) -> DataFrame:
     """(y, yhat, n) for every pair of classes, missing cells as 0.
 
-    The class list is bounded (checked) and collected; counts are a pivot.
-    A class that never occurs as ``y`` still gets its (all-zero) row: the
-    bounded class list is added as zero-weight rows before the pivot.
+    Classes are the non-NULL values of either column, of any type; rows
+    with a NULL on either side are in no cell.  Counts are one partial
+    aggregate, laid on the grid of classes by a null-free join.
     """
-    classes = _classes(df, y, yhat)
-    spark = df.sparkSession
-    ytype = df.schema[y].dataType
-    pad = spark.createDataFrame([(c,) for c in classes], T.StructType(
-        [T.StructField("y", ytype)])).select(
-        "y", F.lit(None).cast(df.schema[yhat].dataType).alias("yhat"), F.lit(0).alias("_w"))
-    rows = df.select(F.col(y).alias("y"), F.col(yhat).alias("yhat"), F.lit(1).alias("_w"))
-    wide = rows.unionByName(pad).groupBy("y").pivot("yhat", classes).agg(F.sum("_w"))
-    present = wide.select("y", *[F.coalesce(F.col(str(c)), F.lit(0)).alias(f"_c{i}")
-                                 for i, c in enumerate(classes)])
-    long = present.unpivot(["y"], [f"_c{i}" for i in range(len(classes))], "_k", "n")
-    lookup = F.create_map(*[x for i, c in enumerate(classes)
-                            for x in (F.lit(f"_c{i}"), F.lit(c))])
-    return long.select("y", lookup[F.col("_k")].alias("yhat"), F.col("n").cast("bigint"))
+    cells = df.select(F.col(y).alias("y"), F.col(yhat).alias("yhat")).dropna()
+    cells = cells.groupBy("y", "yhat").agg(F.count(F.lit(1)).alias("_n"))
+    seen = (df.select(F.col(y).alias("c")).union(df.select(F.col(yhat).alias("c"))).dropna()
+              .agg(F.collect_set("c").alias("cs")))
+    grid = seen.select(F.explode("cs").alias("y"), "cs").select("y", F.explode("cs").alias("yhat"))
+    return grid.join(cells, ["y", "yhat"], "left").select(
+        "y", "yhat", F.coalesce("_n", F.lit(0)).cast("bigint").alias("n"))
 
 
 def accuracy(df: DataFrame, y: str, yhat: str) -> DataFrame:

@@ -61,16 +61,23 @@ def bernoulli_nb(alpha: float = 1.0) -> Pipeline:
 def random_forest(n_trees: int = 100, max_depth: int = 10, features: str = "auto",
                   min_instances: int = 1, seed: int = 1) -> RandomForestClassifier:
     """M14."""
-    return RandomForestClassifier(numTrees=n_trees, maxDepth=min(max_depth, 30),
+    if max_depth > 30:
+        raise ValueError("trees of more than 30 levels are not supported by MLlib")
+    return RandomForestClassifier(numTrees=n_trees, maxDepth=max_depth,
                                   featureSubsetStrategy=features,
                                   minInstancesPerNode=min_instances, seed=seed)
 
 
-def mlp(layers: list[int], max_iter: int = 100, seed: int = 1, step: float = 0.03,
+def mlp(layers: list[int], max_iter: int = 100, seed: int = 1, step: float | None = None,
         block: int = 128) -> MultilayerPerceptronClassifier:
-    """Feed-forward net (sigmoid hidden units, softmax output)."""
+    """Feed-forward net (sigmoid hidden units, softmax output).
+
+    Without ``step`` the net is fitted by L-BFGS, which has no step size;
+    with it by gradient descent.
+    """
+    how = {"solver": "gd", "stepSize": step} if step is not None else {"solver": "l-bfgs"}
     return MultilayerPerceptronClassifier(layers=layers, maxIter=max_iter, seed=seed,
-                                          stepSize=step, blockSize=block)
+                                          blockSize=block, **how)
 
 
 def pca(df: DataFrame, k: int, inp: str = "features", out: str = "pca") -> DataFrame:

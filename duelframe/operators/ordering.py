@@ -100,8 +100,12 @@ def key_row_number(df: DataFrame, key, order, name: str = "_rn",
                            F.lit(0)))
     if size_name:
         stats = stats.withColumn(size_name, F.sum("_cnt").over(Window.partitionBy(*key_names)))
-    stats = stats.drop("_cnt")
-    out = s.join(stats, [*key_names, "_pid"])
+    stats = stats.drop("_cnt").withColumnsRenamed({k: f"_key_{i}" for i, k in enumerate(key_names)})
+    stats = stats.withColumnRenamed("_pid", "_key_pid")
+    same = s["_pid"] == stats["_key_pid"]             # a null key is a key like any other
+    for i, k in enumerate(key_names):
+        same = same & s[k].eqNullSafe(stats[f"_key_{i}"])
+    out = s.join(stats, same).drop("_key_pid", *[f"_key_{i}" for i in range(len(key_names))])
     return (out.withColumn(name, F.col("_off") + F.col("_mid") - F.col("_mid0") + 1)
                .drop("_pid", "_mid", "_mid0", "_off"))
 
@@ -112,10 +116,10 @@ def top_k(df: DataFrame, order, k: int) -> DataFrame:
 
 
 def preview(df: DataFrame, order, n: int = 5, tail: bool = False) -> DataFrame:
-    """Head (or tail) rows in ``order``; tail = top-n of the reversed order."""
+    """Head (or tail) rows in ``order``; tail = top-n of the reversed order, shown in ``order``."""
     cols = _as_cols(order)
     if tail:
-        cols = [_reverse(c) for c in cols]
+        return df.orderBy(*[_reverse(c) for c in cols]).limit(n).orderBy(*cols)
     return df.orderBy(*cols).limit(n)
 
 

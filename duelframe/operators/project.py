@@ -115,11 +115,11 @@ def with_row_id(df: DataFrame, order, name: str = "row_id", key=None) -> DataFra
 
 def winner_loser(df: DataFrame, red: str = "R_name", blue: str = "B_name",
                  outcome: str = "Winner") -> DataFrame:
-    """Winner / loser names from the two sides and the outcome."""
+    """Winner / loser names from the two sides and the outcome; NULL for a draw."""
     w = F.col(outcome)
     return df.withColumns({
-        "winner_name": F.when(w == "Red", F.col(red)).otherwise(F.col(blue)),
-        "loser_name": F.when(w == "Blue", F.col(red)).otherwise(F.col(blue)),
+        "winner_name": F.when(w == "Red", F.col(red)).when(w == "Blue", F.col(blue)),
+        "loser_name": F.when(w == "Blue", F.col(red)).when(w == "Red", F.col(blue)),
     })
 
 

@@ -280,8 +280,8 @@ WITH v AS (SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS R_name
                   CASE l_returnflag WHEN 'R' THEN 'Red' WHEN 'A' THEN 'Blue' ELSE 'Draw' END AS Winner
            FROM lineitem)
 SELECT l_orderkey, l_linenumber, Winner,
-       CASE WHEN Winner = 'Red' THEN R_name ELSE B_name END AS winner_name,
-       CASE WHEN Winner = 'Blue' THEN R_name ELSE B_name END AS loser_name
+       CASE WHEN Winner = 'Red' THEN R_name WHEN Winner = 'Blue' THEN B_name END AS winner_name,
+       CASE WHEN Winner = 'Blue' THEN R_name WHEN Winner = 'Red' THEN B_name END AS loser_name
 FROM v
 """)
 def q_winner_loser(spark, sf_dir):
@@ -316,9 +316,9 @@ ex AS (SELECT k, date, min(card_id) AS card_id FROM ck GROUP BY k, date),
 exact AS (SELECT bk.bout_id, ex.card_id, ex.date AS cdate FROM bk JOIN ex ON bk.k = ex.k AND bk.date = ex.date),
 dates AS (SELECT DISTINCT date FROM cards),
 todo AS (SELECT bout_id, date,
-                CASE WHEN Winner = 'Red' THEN R_name ELSE B_name END AS wn,
-                CASE WHEN Winner = 'Blue' THEN R_name ELSE B_name END AS ln
-         FROM b WHERE bout_id NOT IN (SELECT bout_id FROM exact)),
+                CASE WHEN Winner = 'Red' THEN R_name WHEN Winner = 'Blue' THEN B_name END AS wn,
+                CASE WHEN Winner = 'Blue' THEN R_name WHEN Winner = 'Red' THEN B_name END AS ln
+         FROM b WHERE Winner <> 'Draw' AND bout_id NOT IN (SELECT bout_id FROM exact)),
 blk AS (SELECT *, CASE WHEN date IN (SELECT date FROM dates) THEN date
                        WHEN date + 1 IN (SELECT date FROM dates) THEN date + 1 END AS md FROM todo),
 cand AS (SELECT blk.bout_id, cards.card_id, cards.date AS cdate,

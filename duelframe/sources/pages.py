@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed patterns
-ITEM_PATTERN = "<{tag}>(.*?)</{tag}>"
-LINK_HREF = '<a href="([^"]*)">'
-LINK_TEXT = '<a href="[^"]*">(.*?)</a>'
+ITEM_PATTERN = r"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"
+LINK = r"(?is)(<a\b[^>]*>.*?</a\s*>)"
+LINK_HREF = r"""(?is)^<a\b[^>]*?\shref\s*=\s*["']?([^"'>\s]*)"""
+LINK_TEXT = r"(?is)^<a\b[^>]*>(.*)</a\s*>$"
 TAG_PATTERN = "<[^>]+>"
 
 
@@ -34,12 +35,11 @@ def page_items(pages: DataFrame, tag: str = "li", id_col: str = "page_id",
 
 
 def page_links(pages: DataFrame, id_col: str = "page_id", html: str = "html") -> DataFrame:
-    """(id, pos, text, href) of every link."""
-    hrefs = F.regexp_extract_all(F.col(html), F.lit(LINK_HREF), 1)
-    texts = F.regexp_extract_all(F.col(html), F.lit(LINK_TEXT), 1)
-    z = pages.select(id_col, F.posexplode(F.arrays_zip(texts.alias("text"), hrefs.alias("href")))
-                     .alias("pos", "l"))
-    return z.select(id_col, "pos", F.col("l.text").alias("text"), F.col("l.href").alias("href"))
+    """(id, pos, text, href) of every link; both come from the same anchor."""
+    anchors = F.filter(F.regexp_extract_all(F.col(html), F.lit(LINK), 1), lambda a: a.rlike(LINK_HREF))
+    z = pages.select(id_col, F.posexplode(anchors).alias("pos", "a"))
+    return z.select(id_col, "pos", strip_tags(F.regexp_extract("a", LINK_TEXT, 1)).alias("text"),
+                    F.regexp_extract("a", LINK_HREF, 1).alias("href"))
 
 
 def page_field(pages: DataFrame, keyword: str, tag: str = "li", id_col: str = "page_id",
