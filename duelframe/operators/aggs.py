@@ -82,12 +82,12 @@ def median_over_folds(df: DataFrame, key, metrics: list[str], method: str = "aut
     """Exact (interpolated) median of each metric across folds."""
     keys = _names(key)
     if _use_sort(df, keys, method):
-        parts = [exact_quantiles(df, keys, m, [0.5]).select(*keys, F.col("value").alias(m))
-                 for m in metrics]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.join(p, keys, "full")
-        return out
+        long = None
+        for m in metrics:
+            q = exact_quantiles(df, keys, m, [0.5]).withColumn("_metric", F.lit(m))
+            long = q if long is None else long.unionByName(q)
+        return long.groupBy(*keys).agg(*[F.max(F.when(F.col("_metric") == m, F.col("value"))).alias(m)
+                                         for m in metrics])
     return df.groupBy(*keys).agg(*[F.median(m).alias(m) for m in metrics])
 
 
@@ -112,7 +112,8 @@ def exact_quantiles(df: DataFrame, keys: list[str], col: str, probs: list[float]
 
     Values are numbered inside each group by a range-partitioned sort (a hot
     group spreads over many tasks); only the <= 2 rows per probability that
-    bracket position p·(n-1) are kept and interpolated.  Output: keys, p, value.
+    bracket position p·(n-1) are kept and interpolated.  Output: keys, p, value;
+    a group whose values are all NULL has NULL quantiles.
     """
     from duelframe.operators.ordering import key_row_number
 
@@ -129,6 +130,13 @@ def exact_quantiles(df: DataFrame, keys: list[str], col: str, probs: list[float]
     rows = near.groupBy(*keys).agg(F.first("_n").alias("_n"),
                                    F.map_from_entries(F.collect_list(F.struct("_rn", "_v")))
                                    .alias("_m"))
+    if keys:   # groups without any value keep their rows
+        groups = df.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(keys)]).distinct()
+        on = F.lit(True)
+        for i, c in enumerate(keys):
+            on = on & F.col(f"_g{i}").eqNullSafe(F.col(c))
+        rows = groups.join(rows, on, "left").select(
+            *[F.col(f"_g{i}").alias(c) for i, c in enumerate(keys)], "_n", "_m")
     outs = []
     for p, _ in pos:
         ps = F.lit(p) * (F.col("_n") - 1)

@@ -159,6 +159,7 @@ def best_match_join(left: DataFrame, right: DataFrame, left_id, right_id,
     (cheaper when names in a block are all far apart).  ``'auto'`` measures
     the largest block (left profiles × right profiles, two small aggregates)
     and uses 'profiles' only when no block exceeds ``max_block_pairs``.
+    A row with a missing name has no cost and matches nothing, by either plan.
     Output: left columns + ``match_date``, ``match_cost`` and ``right_cols``
     of the chosen right row (NULL when no block has candidates).
     """
@@ -177,9 +178,9 @@ def best_match_join(left: DataFrame, right: DataFrame, left_id, right_id,
                            F.col(rw).alias("_rw"), F.col(rl).alias("_rl"))
                   .agg(F.min(F.struct(*[F.col(c).alias(f"_rid_{c}") for c in rids],
                                       *[F.col(c).alias(f"match_{c}") for c in payload]))
-                        .alias("_rrow")))
+                        .alias("_rrow"))).dropna(subset=["_rw", "_rl"])
     lprof = blocked.select(F.col("match_date").alias("_bd"), F.col(lw).alias("_lw"),
-                           F.col(ll).alias("_ll")).where(F.col("_bd").isNotNull()).distinct()
+                           F.col(ll).alias("_ll")).dropna().distinct()
     cost = (F.levenshtein("_rw", "_lw") + F.levenshtein("_rl", "_ll")) / 2.0
     picked = [f"_rid_{c}" for c in rids] + [f"match_{c}" for c in payload]
     # both profile tables are used by the measurement and by the match: write them once
@@ -204,8 +205,6 @@ def best_match_join(left: DataFrame, right: DataFrame, left_id, right_id,
             pairs = pairs.filter(F.col("_cost") <= max_cost)
         best = pick(pairs)
     elif strategy == "rounds":
-        lprof = lprof.where(F.col("_lw").isNotNull())
-        rprof = rprof.where(F.col("_rw").isNotNull())
         lens = lprof.agg(F.max(F.length("_lw"))).first()[0] or 0
         lens = max(lens, rprof.agg(F.max(F.length("_rw"))).first()[0] or 0)
         rnames = rprof.select("_bd", "_rw").distinct()

@@ -61,10 +61,15 @@ def deletion_pairs(left: DataFrame, right: DataFrame, t: int, x: str = "x", y: s
         "_x", *blk, F.explode(_deletions(F.col("_x"), t)).alias("_v"))
     rv = right.select(F.col(y).alias("_y"), *blk).select(
         "_y", *blk, F.explode(_deletions(F.col("_y"), t)).alias("_v"))
-    cand = lv.join(rv, [*blk, "_v"]).select("_x", "_y", *blk).distinct()
-    scored = cand.withColumn("score", F.levenshtein("_x", "_y", t))
-    return scored.filter(F.col("score") >= 0).select(F.col("_x").alias(x), F.col("_y").alias(y),
-                                                     *blk, "score")
+    return _within(lv.join(rv, [*blk, "_v"]), t, x, y, blk)
+
+
+def _within(cand: DataFrame, t: int, x: str, y: str, blk: list[str]) -> DataFrame:
+    """Distinct pairs of at most ``t`` edits.  Scored where the join makes them,
+    so that only pairs which qualify are shuffled to remove repeats."""
+    scored = cand.select("_x", "_y", *blk, F.levenshtein("_x", "_y", t).alias("score"))
+    return scored.filter(F.col("score") >= 0).select(
+        F.col("_x").alias(x), F.col("_y").alias(y), *blk, "score").distinct()
 
 
 # Deletion variants of short strings stay few and selective while t is small;
@@ -72,6 +77,12 @@ def deletion_pairs(left: DataFrame, right: DataFrame, t: int, x: str = "x", y: s
 # 68 s where length bands took 185 s.  Long strings keep the segment join:
 # deletion variants would grow as C(L, t).
 DELETION_MAX_T = 4
+# A length band is one key for every string of the length: its rows are dealt
+# over this many parts, to which the probing side is copied.
+BAND_PARTS = 16
+# Once so few names are left that comparing each with every partner is this
+# many pairs at most, one last round by length does it.
+LAST_ROUND_PAIRS = 20_000_000
 
 
 def threshold_pairs(left: DataFrame, right: DataFrame, t: int, x: str = "x",
@@ -102,7 +113,8 @@ def threshold_pairs(left: DataFrame, right: DataFrame, t: int, x: str = "x",
         short_y = ry.filter(short).select("_y", *blk, F.lit(-1).alias("_L"), F.lit(-2).alias("_i"),
                                           F.explode(_deletions(F.col("_y"), t)).alias("_seg"))
     else:         # short y: every y of the length is a candidate
-        short_y = ry.filter(short).select("_y", *blk, "_L", F.lit(-1).alias("_i"),
+        part = F.pmod(F.xxhash64("_y"), F.lit(BAND_PARTS)).cast("int")
+        short_y = ry.filter(short).select("_y", *blk, "_L", (-1 - part).alias("_i"),
                                           F.lit("").alias("_seg"))
     ry = long_y.unionByName(short_y)
 
@@ -115,7 +127,8 @@ def threshold_pairs(left: DataFrame, right: DataFrame, t: int, x: str = "x",
                           F.explode(_deletions(F.col("_x"), t)).alias("_seg")))
     else:
         band = lx.filter(F.col("_L") < band_below).select(
-            "_x", *blk, "_L", F.lit(-1).alias("_i"), F.lit("").alias("_seg"))
+            "_x", *blk, "_L", F.explode(F.sequence(F.lit(-BAND_PARTS), F.lit(-1))).alias("_i"),
+            F.lit("").alias("_seg"))
     lx = lx.filter(F.col("_L") >= band_below)
     lx = lx.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(t))))
     start, length = _segments(F.col("_L"), t)
@@ -131,10 +144,7 @@ def threshold_pairs(left: DataFrame, right: DataFrame, t: int, x: str = "x",
                    F.substr("_x", F.col("_p") + 1, F.col("_len")).alias("_seg")).distinct()
     probes = lx.unionByName(band)
 
-    cand = probes.join(ry, [*blk, "_L", "_i", "_seg"]).select("_x", "_y", *blk).distinct()
-    scored = cand.withColumn("score", F.levenshtein("_x", "_y", t))
-    return scored.filter(F.col("score") >= 0).select(F.col("_x").alias(x), F.col("_y").alias(y),
-                                                     *blk, "score")
+    return _within(probes.join(ry, [*blk, "_L", "_i", "_seg"]), t, x, y, blk)
 
 
 def nearest_names(left: DataFrame, right: DataFrame, k: int = 7, x: str = "x", y: str = "y",
@@ -144,7 +154,7 @@ def nearest_names(left: DataFrame, right: DataFrame, k: int = 7, x: str = "x", y
     Thresholds run 2, 3, 4 (deletion-neighbourhood joins, cheap and sharp),
     then grow by half (6, 9, 13, ...): each name is settled in the first round
     whose threshold gives it k partners, so only names far from everything
-    reach the wide rounds.
+    reach the wide rounds.  The last few (``LAST_ROUND_PAIRS``) skip to the end.
 
     Output: x, y, score (int), ratio (indel similarity, only for the kept
     pairs) and rank 1..k.  Inputs are reduced to distinct names first.
@@ -162,12 +172,15 @@ def nearest_names(left: DataFrame, right: DataFrame, k: int = 7, x: str = "x", y
     need = min(k, n_right)
     max_left = lx.agg(F.max(F.length("x"))).first()[0] or 0
     t_full = max(max_right, max_left)
+    w = Window.partitionBy("x").orderBy("score", "y")
     found = None
     todo = lx
     t = start_t
     while True:
         t = min(t, t_full)
-        pairs = threshold_pairs(todo, ry, t).checkpoint(eager=True)
+        # k pairs for each name are all that a round can add
+        pairs = (threshold_pairs(todo, ry, t).withColumn("rank", F.row_number().over(w))
+                 .filter(F.col("rank") <= k).checkpoint(eager=True))
         counts = pairs.groupBy("x").agg(F.count(F.lit(1)).alias("_c"))
         done = counts.filter(F.col("_c") >= need).select("x") if t < t_full else todo
         kept = pairs.join(done, "x", "left_semi")
@@ -176,11 +189,13 @@ def nearest_names(left: DataFrame, right: DataFrame, k: int = 7, x: str = "x", y
             break
         todo = todo.join(done, "x", "left_anti")
         todo = todo.checkpoint(eager=True)
-        if todo.isEmpty():
+        left_over = todo.count()
+        if not left_over:
             break
         t = t + 1 if t < DELETION_MAX_T else t * 3 // 2
-    w = Window.partitionBy("x").orderBy("score", "y")
-    top = found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+        if left_over * n_right <= LAST_ROUND_PAIRS:
+            t = t_full
+    top = found
     if with_ratio:
         top = top.withColumn("ratio", F.round(indel_ratio("x", "y"), 6))
     return top

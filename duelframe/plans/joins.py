@@ -4,39 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from duelframe.functions.keys import normalize_name, pair_key
+from duelframe.functions.keys import normalize_name, pair_key, word_pairs
 from duelframe.operators import joins as J
 from duelframe.operators.project import winner_loser
 from duelframe.plans import sqlx as S
 from duelframe.plans.registry import register, table
 
-_W1 = "substring_index(text, ' ', 1)"
-_W2 = "CASE WHEN instr(text, ' ') > 0 THEN substring_index(substring_index(text, ' ', 2), ' ', -1) END"
-_D1 = "string_split(text, ' ')[1]"
-_D2 = "string_split(text, ' ')[2]"
+_KEY = S.pair_key(S.normalize_name("a"), S.normalize_name("b"))
 
 
 @register("pair_join", f"""
-WITH b AS (SELECT doc_id, lang, {S.pair_key(S.normalize_name(_D1), S.normalize_name(_D2))} AS k
-           FROM documents),
-c AS (SELECT conv_id, turn, role, {S.pair_key(S.normalize_name(_D2), S.normalize_name(_D1))} AS k,
-             row_number() OVER (PARTITION BY {S.pair_key(S.normalize_name(_D2), S.normalize_name(_D1))}
-                                ORDER BY conv_id, turn) AS rk
-      FROM conversations)
-SELECT b.doc_id, b.lang, c.conv_id AS sc_conv_id, c.turn AS sc_turn, c.role AS sc_role
-FROM b LEFT JOIN (SELECT * FROM c WHERE rk = 1) c ON b.k = c.k
+WITH b AS (SELECT doc_id, lang, pos, {_KEY} AS k FROM {S.word_pairs("documents", "doc_id", "lang")}),
+c AS (SELECT conv_id, turn, role, pos, {_KEY} AS k
+      FROM {S.word_pairs("conversations", "conv_id", "turn", "role")}),
+f AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY k ORDER BY conv_id, turn, pos) = 1)
+SELECT b.doc_id, b.lang, b.pos, f.conv_id AS sc_conv_id, f.turn AS sc_turn, f.role AS sc_role,
+       f.pos AS sc_pos
+FROM b LEFT JOIN f ON b.k = f.k
 """)
 def q_pair_join(spark, sf_dir):
-    """Documents ⟕ conversations on the order-insensitive pair of the
-    first two words (conversation words swapped); cards deduplicated (A11)."""
+    """Documents ⟕ conversations on the order-insensitive pair of every two
+    neighbouring words (conversation words swapped); cards deduplicated (A11)."""
     d = table(spark, sf_dir, "documents").select(
-        "doc_id", "lang", F.expr(_W1).alias("n1"), F.expr(_W2).alias("n2"))
+        "doc_id", "lang", F.posexplode(word_pairs("text")).alias("pos", "w")).select(
+        "doc_id", "lang", "pos", F.col("w.a").alias("n1"), F.col("w.b").alias("n2"))
     c = table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", "role", F.expr(_W2).alias("n1"), F.expr(_W1).alias("n2"))
+        "conv_id", "turn", "role", F.posexplode(word_pairs("text")).alias("pos", "w")).select(
+        "conv_id", "turn", "role", "pos", F.col("w.b").alias("n1"), F.col("w.a").alias("n2"))
     c = c.withColumn("_k", pair_key(normalize_name("n1"), normalize_name("n2")))
-    c = J.dedupe_first(c, "_k", ["conv_id", "turn"]).drop("_k")
+    c = J.dedupe_first(c, "_k", ["conv_id", "turn", "pos"]).drop("_k")
     out = J.pair_join(d, c, ("n1", "n2"), ("n1", "n2"))
-    return out.select("doc_id", "lang", "sc_conv_id", "sc_turn", "sc_role")
+    return out.select("doc_id", "lang", "pos", "sc_conv_id", "sc_turn", "sc_role", "sc_pos")
 
 
 _NLOC = "concat(n_name, ', Centre, ', r_name)"

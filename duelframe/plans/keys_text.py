@@ -9,23 +9,18 @@ from duelframe.functions import text as T
 from duelframe.plans import sqlx as S
 from duelframe.plans.registry import register, table
 
-_N1 = "substring_index(text, ' ', 1)"
-_N2 = "CASE WHEN instr(text, ' ') > 0 THEN substring_index(substring_index(text, ' ', 2), ' ', -1) END"
-
 
 @register("name_keys", f"""
-SELECT doc_id,
-       {S.normalize_name("string_split(text, ' ')[1]")} AS name_a,
-       {S.normalize_name("string_split(text, ' ')[2]")} AS name_b,
-       {S.pair_key(S.normalize_name("string_split(text, ' ')[1]"),
-                   S.normalize_name("string_split(text, ' ')[2]"))} AS pair_key
-FROM documents
+SELECT doc_id, pos, {S.normalize_name("a")} AS name_a, {S.normalize_name("b")} AS name_b,
+       {S.pair_key(S.normalize_name("a"), S.normalize_name("b"))} AS pair_key
+FROM {S.word_pairs("documents", "doc_id")}
 """)
 def q_name_keys(spark, sf_dir):
-    """F1 + F2 + F3: first two words of each document as two names."""
+    """F1 + F2 + F3: every two neighbouring words of each document as two names."""
     d = table(spark, sf_dir, "documents").select(
-        "doc_id", K.normalize_name(F.expr(_N1)).alias("name_a"),
-        K.normalize_name(F.expr(_N2)).alias("name_b"))
+        "doc_id", F.posexplode(K.word_pairs("text")).alias("pos", "w")).select(
+        "doc_id", "pos", K.normalize_name("w.a").alias("name_a"),
+        K.normalize_name("w.b").alias("name_b"))
     return d.withColumn("pair_key", K.pair_key("name_a", "name_b"))
 
 

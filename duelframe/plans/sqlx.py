@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from duelframe.functions.keys import (
-    ASCII_PUNCTUATION, COUNTRY_ABBREVIATIONS, PLACE_FIXUPS, TRANSLIT_FROM, TRANSLIT_MULTI,
-    TRANSLIT_TO,
+    ASCII_PUNCTUATION, COUNTRY_ABBREVIATIONS, PLACE_FIXUPS, TRANSLIT_DROPPED, TRANSLIT_FROM,
+    TRANSLIT_MULTI, TRANSLIT_TO,
 )
 
 
@@ -17,7 +17,8 @@ def strip_ws(x: str) -> str:
 
 
 def translit(x: str) -> str:
-    e = f"translate({x}, {lit(TRANSLIT_FROM)}, {lit(TRANSLIT_TO)})"
+    e = (f"regexp_replace(translate({x}, {lit(TRANSLIT_FROM)}, {lit(TRANSLIT_TO)}), "
+         f"{lit(TRANSLIT_DROPPED)}, '', 'g')")
     for a, b in TRANSLIT_MULTI:
         e = f"replace({e}, {lit(a)}, {lit(b)})"
     return e
@@ -27,6 +28,14 @@ def normalize_name(x: str) -> str:
     return translit(strip_ws(f"lower(translate({x}, {lit(ASCII_PUNCTUATION)}, ''))"))
 
 
+def word_pairs(relation: str, *cols: str) -> str:
+    """Every two neighbouring words of ``text``: cols, pos (from 0), a, b."""
+    keep = ", ".join(cols)
+    return (f"(SELECT {keep}, CAST(i - 1 AS INTEGER) AS pos, w[i] AS a, w[i + 1] AS b FROM ("
+            f"SELECT {keep}, w, unnest(range(1, len(w))) AS i FROM ("
+            f"SELECT {keep}, string_split(text, ' ') AS w FROM {relation})))")
+
+
 def sorted_words(x: str) -> str:
     return (f"array_to_string(list_sort(list_filter(string_split_regex({x}, '\\s+'), "
             f"lambda w: w <> '')), ' ')")
