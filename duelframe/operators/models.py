@@ -264,83 +264,79 @@ def rank_results(results: DataFrame, metric: str, k: int = 5, tie: str | None =
 # -- exact k nearest neighbours (M12) -------------------------------------------
 
 KNN_QUERY_BLOCK = 4096
+KNN_TRAIN_BLOCK = 65_536
+
+
+def _nearest(ids, qmat, tid, tv, tlab, k: int) -> pd.DataFrame:
+    """The k nearest train rows of each query row, ties by train id."""
+    out_q, out_t, out_d, out_l = [], [], [], []
+    for s in range(0, len(ids), 64):
+        qs = qmat[s:s + 64]
+        # sum of squared differences, one dimension at a time: memory stays at
+        # (query chunk x block) and the sum order matches a plain sequential
+        # Euclidean distance
+        acc = np.zeros((qs.shape[0], tv.shape[0]))
+        for dim in range(qs.shape[1]):
+            diff = qs[:, dim][:, None] - tv[:, dim][None, :]
+            acc += diff * diff
+        d = np.sqrt(acc)
+        kk = min(k, d.shape[1])
+        for r in range(d.shape[0]):
+            row = d[r]
+            kth = np.partition(row, kk - 1)[kk - 1]
+            cand = np.nonzero(row <= kth)[0]
+            order = cand[np.lexsort((tid[cand], row[cand]))][:kk]
+            out_q.append(np.full(kk, ids[s + r]))
+            out_t.append(tid[order])
+            out_d.append(row[order])
+            out_l.append(tlab[order])
+    return pd.DataFrame({"_qid": np.concatenate(out_q), "_tid": np.concatenate(out_t),
+                         "_d": np.concatenate(out_d), "_lab": np.concatenate(out_l)})
 
 
 def knn_classify(train: DataFrame, test: DataFrame, k: int = 5, weights: str = "uniform",
                  id_col: str = "id", vec: str = "vec", label: str = "label",
-                 query_block: int = KNN_QUERY_BLOCK) -> DataFrame:
+                 query_block: int = KNN_QUERY_BLOCK,
+                 train_block: int = KNN_TRAIN_BLOCK) -> DataFrame:
     """Exact k-NN vote (Euclidean), ties by (distance, train id).
 
-    The query side is cut into blocks of ``query_block`` rows (size-checked:
-    only such a block is broadcast); for each block every train partition
-    computes its local k nearest with numpy (mapInPandas), so a task emits at
-    most k rows per query row, and a per-query top-k merge follows.  Votes:
-    'uniform' or 'distance' (1/d; exact matches alone vote); ties -> the
-    smallest label.  Output: (id, prediction).
+    Both sides are dealt by a hash of their ids into blocks of about
+    ``query_block`` and ``train_block`` rows.  Every query block meets every
+    train block in a task of its own, which keeps k rows for each query; a
+    top-k merge per query follows.  Nothing passes through the driver, and
+    both counts only set the number of blocks.  Votes: 'uniform' or
+    'distance' (1/d; exact matches alone vote); ties -> the smallest label.
+    Rows without a vector take no part.  Output: (id, prediction).
     """
-    spark = train.sparkSession
-    from duelframe.operators.ordering import global_row_number
-
-    n_q = test.count()
-    if n_q <= query_block:
-        q = test.select(id_col, vec).withColumn("_qn", F.lit(1))
-    else:
-        q = global_row_number(test.select(id_col, vec), [id_col], "_qn")
-    tr = train.select(F.col(id_col).alias("_tid"), F.col(vec).cast("array<double>").alias("_v"),
-                      F.col(label).alias("_lab"))
-    parts = []
-    for start in range(0, n_q, query_block):
-        block = (q if n_q <= query_block else
-                 q.filter((F.col("_qn") > start) & (F.col("_qn") <= start + query_block)))
-        block = block.select(id_col, vec).collect()
-        qids = np.array([r[0] for r in block])
-        qv = np.array([np.asarray(r[1], dtype=np.float64) for r in block])
-        bq = spark.sparkContext.broadcast((qids, qv))
-
-        def local_top(batches, bq=bq):
-            ids, qmat = bq.value
-            for pdf in batches:
-                if pdf.empty:
-                    continue
-                tv = np.stack(pdf["_v"].map(lambda a: np.asarray(a, dtype=np.float64)).to_numpy())
-                tid = pdf["_tid"].to_numpy()
-                tlab = pdf["_lab"].to_numpy()
-                out_q, out_t, out_d, out_l = [], [], [], []
-                for s in range(0, len(ids), 256):
-                    qs = qmat[s:s + 256]
-                    # sum of squared differences, one dimension at a time: memory
-                    # stays at (query chunk x batch) and the sum order matches a
-                    # plain sequential Euclidean distance
-                    acc = np.zeros((qs.shape[0], tv.shape[0]))
-                    for dim in range(qs.shape[1]):
-                        diff = qs[:, dim][:, None] - tv[:, dim][None, :]
-                        acc += diff * diff
-                    d = np.sqrt(acc)
-                    kk = min(k, d.shape[1])
-                    for r in range(d.shape[0]):
-                        row = d[r]
-                        kth = np.partition(row, kk - 1)[kk - 1]
-                        cand = np.nonzero(row <= kth)[0]
-                        order = cand[np.lexsort((tid[cand], row[cand]))][:kk]
-                        out_q.append(np.full(kk, ids[s + r]))
-                        out_t.append(tid[order])
-                        out_d.append(row[order])
-                        out_l.append(tlab[order])
-                if out_q:
-                    yield pd.DataFrame({"_qid": np.concatenate(out_q), "_tid": np.concatenate(out_t),
-                                        "_d": np.concatenate(out_d),
-                                        "_lab": np.concatenate(out_l)})
-
-        schema = T.StructType([T.StructField("_qid", T.LongType()),
-                               T.StructField("_tid", T.LongType()),
-                               T.StructField("_d", T.DoubleType()),
-                               T.StructField("_lab", T.LongType())])
-        parts.append(tr.mapInPandas(local_top, schema))
-    if not parts:
-        return spark.createDataFrame([], f"{id_col} long, prediction long")
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
+    q = test.where(F.col(vec).isNotNull()).select(
+        F.col(id_col).alias("_qid"), F.col(vec).cast("array<double>").alias("_q"))
+    tr = train.where(F.col(vec).isNotNull()).select(
+        F.col(id_col).alias("_tid"), F.col(vec).cast("array<double>").alias("_v"),
+        F.col(label).alias("_lab"))
+    nq = max(1, -(-q.count() // query_block))
+    nt = max(1, -(-tr.count() // train_block))
+
+    def deal(id_name, n):
+        return F.pmod(F.xxhash64(id_name), F.lit(n)).cast("int")
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    q = q.withColumn("_qb", deal("_qid", nq)).withColumn("_tb", every(nt))
+    tr = tr.withColumn("_tb", deal("_tid", nt)).withColumn("_qb", every(nq))
+
+    def local_top(qs: pd.DataFrame, ts: pd.DataFrame) -> pd.DataFrame:
+        if qs.empty or ts.empty:
+            return pd.DataFrame({c: [] for c in ("_qid", "_tid", "_d", "_lab")})
+        return _nearest(qs["_qid"].to_numpy(), np.stack(qs["_q"].to_numpy()),
+                        ts["_tid"].to_numpy(), np.stack(ts["_v"].to_numpy()),
+                        ts["_lab"].to_numpy(), k)
+
+    schema = T.StructType([T.StructField("_qid", q.schema["_qid"].dataType),
+                           T.StructField("_tid", tr.schema["_tid"].dataType),
+                           T.StructField("_d", T.DoubleType()),
+                           T.StructField("_lab", tr.schema["_lab"].dataType)])
+    cand = q.groupBy("_qb", "_tb").cogroup(tr.groupBy("_qb", "_tb")).applyInPandas(local_top, schema)
     w = Window.partitionBy("_qid").orderBy("_d", "_tid")
     top = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
     if weights == "uniform":
@@ -353,3 +349,28 @@ def knn_classify(train: DataFrame, test: DataFrame, k: int = 5, weights: str = "
     best = votes.groupBy("_qid").agg(
         F.min(F.struct((-F.col("_s")).alias("neg"), F.col("_lab"))).alias("_b"))
     return best.select(F.col("_qid").alias(id_col), F.col("_b._lab").alias("prediction"))
+
+
+class Knn:
+    """k-NN with the fit / transform calls of an MLlib estimator, so that it
+    can stand beside the other models in ``compare_models`` and ``repeat_eval``.
+    Rows need a unique ``id_col``."""
+
+    def __init__(self, k: int = 5, weights: str = "uniform", id_col: str = "id",
+                 features: str = "features", label: str = "label"):
+        self.k, self.weights, self.id_col = k, weights, id_col
+        self.features, self.label = features, label
+        self.train = None
+
+    def _vectors(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("_vec", vector_to_array(self.features))
+
+    def fit(self, df: DataFrame) -> Knn:
+        model = Knn(self.k, self.weights, self.id_col, self.features, self.label)
+        model.train = self._vectors(df).select(self.id_col, "_vec", self.label)
+        return model
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        votes = knn_classify(self.train, self._vectors(df), self.k, self.weights,
+                             self.id_col, "_vec", self.label)
+        return df.join(votes, self.id_col, "left")

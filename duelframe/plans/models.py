@@ -67,7 +67,8 @@ def _models():
         "logreg": lambda n: ML.logreg(C=1.0, n=n),
         "linear_svm": lambda n: ML.linear_svm(C=1.0, n=n),
         "bernoulli_nb": lambda n: ML.bernoulli_nb(1.0),
-        "random_forest": lambda n: ML.random_forest(n_trees=20, max_depth=5),
+        "random_forest": lambda n: ML.random_forest(n_trees=50, max_depth=5),
+        "knn": lambda n: ML.Knn(5),
     }
 
 
@@ -141,7 +142,7 @@ def q_predict_horizons(spark, sf_dir):
                  .alias("flat"), "labels")
     w = label_columns(w, "labels", 2)
     w = ML.as_features(w, "flat").withColumn(
-        "id", F.col("user_id") * 1000000 + F.col("win_start"))
+        "id", F.concat_ws(":", "user_id", "win_start"))
     return ML.predict_horizons(w, 2, lambda n: ML.logreg(C=1.0, n=n))
 
 

@@ -13,7 +13,7 @@ def q():
 
 def test_compare_models_long_and_medians(spark, q):
     med = q["compare_models"](spark, SF_SMALL).collect()
-    assert {r.model for r in med} == {"logreg", "linear_svm", "bernoulli_nb", "random_forest"}
+    assert {r.model for r in med} == {"logreg", "linear_svm", "bernoulli_nb", "random_forest", "knn"}
     assert {r.metric for r in med} == {"train_accuracy", "accuracy", "precision", "recall", "f1"}
     assert all(0.0 <= r.median <= 1.0 for r in med)
     long = q["compare_models_folds"](spark, SF_SMALL).collect()

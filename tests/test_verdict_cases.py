@@ -52,3 +52,93 @@ def test_update_does_not_fan_out_and_tail_is_in_order(spark):
     patch = spark.createDataFrame([(1, "y"), (1, "x")], "k long, v string")
     assert sorted(map(tuple, update_from(df, patch, "k", ["v"]).collect())) == [(1, "x"), (2, "b")]
     assert [r.id for r in preview(spark.range(9), "id", 3, tail=True).collect()] == [6, 7, 8]
+
+
+def test_word_pairs_cover_whole_texts(spark):
+    from duelframe.functions.keys import word_pairs
+
+    df = spark.createDataFrame([("a b c",), ("a",), ("",), (None,), ("a  b",)], "t string")
+    got = [None if r[0] is None else [tuple(p) for p in r[0]] for r in df.select(word_pairs("t")).collect()]
+    assert got == [[("a", "b"), ("b", "c")], [], [], None, [("a", ""), ("", "b")]]
+
+
+def test_letters_of_other_scripts(spark):
+    from duelframe.functions.keys import normalize_name
+
+    df = spark.createDataFrame([("Ștefan",), ("Nguyễn",), ("Иван Щукин",), ("émile",), ("Øyvind",), (None,)], "n string")
+    got = [r[0] for r in df.select(normalize_name("n")).collect()]
+    assert got == ["stefan", "nguyen", "ivan shchukin", "emile", "oyvind", None]
+
+
+def test_nearest_names_equal_brute_force_by_rounds_and_at_once(spark, monkeypatch):
+    import random
+
+    from duelframe.operators import names as N
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choice("abcde") for _ in range(rnd.choice([0, 1, 3, 6, 11, 20])))
+    xs, ys = sorted({word() for _ in range(25)}), sorted({word() for _ in range(60)})
+    want = {(x, y, n + 1) for x in xs for n, (_, y) in enumerate(sorted((edits(x, y), y) for y in ys)[:4])}
+    left = spark.createDataFrame([(x,) for x in xs + xs[:3]] + [(None,)], "x string")
+    right = spark.createDataFrame([(y,) for y in ys] + [(None,)], "y string")
+    for limit in (0, 10 ** 9):
+        monkeypatch.setattr(N, "LAST_ROUND_PAIRS", limit)
+        got = {(r.x, r.y, r.rank) for r in N.nearest_names(left, right, k=4).collect()}
+        assert got == want, limit
+
+
+def test_best_match_treats_missing_names_alike(spark):
+    import datetime as dt
+
+    from duelframe.operators.joins import best_match_join
+
+    day = dt.date(2020, 1, 1)
+    left = spark.createDataFrame([(1, day, "abc", "x"), (2, day, None, "x")], "lid int, d date, w string, l string")
+    right = spark.createDataFrame([(10, day, "abc", "x"), (11, day, None, "x"), (12, day, "abc", None)], "rid int, d date, w string, l string")
+    for how in ("rounds", "profiles"):
+        out = {r.lid: r.match_rid for r in best_match_join(left, right, "lid", "rid", "d", "d", ("w", "l"), ("w", "l"), strategy=how).collect()}
+        assert out == {1: 10, 2: None}, how
+
+
+def test_quantiles_keep_null_groups_on_both_plans(spark):
+    from duelframe.operators.aggs import five_number, median_over_folds
+
+    df = spark.createDataFrame([("a", 1.0, None), ("a", 3.0, None), (None, 5.0, 2.0), ("b", None, 1.0)], "g string, v double, w double")
+    both = [[sorted(map(str, f(m).collect())) for m in ("aggregate", "sort")] for f in (
+        lambda m: five_number(df, ["v", "w"], "g", method=m), lambda m: median_over_folds(df, "g", ["v", "w"], method=m))]
+    for a, b in both:
+        assert a == b and any("g=None" in r for r in a) and any("g='b'" in r for r in a)
+
+
+def test_knn_blocks_equal_brute_force(spark):
+    from duelframe.operators.models import knn_classify
+
+    rows = [(i, [float(i % 7), float(i % 3)], i % 2) for i in range(120)] + [(500, None, 1)]
+    df = spark.createDataFrame(rows, "id long, vec array<double>, label long")
+    train, test = df.filter("id % 4 <> 0"), df.filter("id % 4 = 0")
+    want = {}
+    for i, v, _ in rows[:120]:
+        if i % 4 == 0:
+            near = sorted((((v[0] - u[0]) ** 2 + (v[1] - u[1]) ** 2) ** 0.5, j, y) for j, u, y in rows[:120] if j % 4)[:3]
+            ones = sum(y for _, _, y in near)
+            want[i] = 1 if ones >= 2 else 0
+    for size in (4096, 7):
+        got = {r.id: r.prediction for r in knn_classify(train, test, 3, query_block=size, train_block=size).collect()}
+        assert got == want, size
+
+
+def test_knn_stands_beside_other_models(spark):
+    from duelframe.operators import models as ML
+
+    df = spark.createDataFrame([(f"r{i}", [float(i), float(i % 3)], float(i > 30)) for i in range(60)], "id string, v array<double>, label double")
+    long, _ = ML.compare_models(ML.as_features(df, "v"), {"knn": lambda n: ML.Knn(3)}, k=3)
+    assert {r.fold for r in long.collect()} == {0, 1, 2}
+    assert min(r.value for r in long.filter("metric = 'train_accuracy'").collect()) > 0.8
