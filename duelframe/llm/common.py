@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,5 +80,10 @@ def merged_chunks(batches, column: str, limit: int):
 
 
 def tidy() -> None:
-    """Gives a finished task's free Arrow memory back, as Spark keeps the worker."""
+    """Gives a finished task's free memory back, as Spark keeps the worker: Arrow's
+    pool, and (on glibc) what Python, numpy and the tokenizer have freed."""
+    gc.collect()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

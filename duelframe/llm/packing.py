@@ -64,7 +64,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, size: int = 2048, ope
     def run(batches: Iterable[pa.RecordBatch]):
         windows, waiting = None, None
         code = encoder(tokenizer)
-        for part in merged_chunks(batches, "dfx_text", 8 << 20):
+        for part in merged_chunks(batches, "dfx_text", 2 << 20):
             if windows is None:
                 pid = part.column(2)[0].as_py()
                 windows = Windows(size, open_windows, pid << 40)

@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from duelframe.llm.common import tidy
+
 CACHE_WORDS = 500_000
 #: fixed values: Latin letters without U+0130, whose lower case is two characters
 LATIN = r"A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}"
@@ -104,4 +106,5 @@ def encoder(path: str) -> WordEncoder:
     """The encoder of a file, once per Python worker."""
     if path not in _LOADED:
         _LOADED[path] = WordEncoder(path)
+        tidy()                                           # what parsing the file took
     return _LOADED[path]
