@@ -1,12 +1,16 @@
 """Toxicity (3): noisy-channel deobfuscation, then a learnt score of the restored text.
 
 1. Character language model: trigram counts over all texts, gathered as one
-   histogram per task and summed by Spark (64 folded letters, 262,144 cells).
+   histogram per task and summed by Spark (64 folded letters, 262,144 cells),
+   and 4-grams of letters without accents (32, 1,048,576 cells) for spacing.
 2. Channel: a token with digits or signs among its letters, with a letter
    three times and more in a row, or spelt out as single characters, is a
    lattice: every position offers the letters it may stand for, or nothing.
+   A separator between spelt characters is a position of its own, nothing or
+   a word edge, so a run of them is decoded into its words.
    Viterbi decoding takes the likeliest path under the language model.
    Tokens without such marks have a one-path lattice and stay as they are.
+   Tokens and runs of any length are decoded.
 3. Score: on a bounded sample of labelled rows, document counts of words and
    word beginnings give each its shrunk log odds; a document's strongest
    words go into a small logistic regression, fitted on odds from other folds.
@@ -14,8 +18,12 @@
 
 import math
 import re
+import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
+from os.path import commonprefix
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -31,6 +39,8 @@ LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïñòóô
 SIGNS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
          "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i"}
 WILD = "*#"
+EDGE = "\0"                                           # a word edge in a decoded text
+BETWEEN = [("", 0.0), (EDGE, 0.0)]                    # what a separator of a spelt run may stand for
 
 TRAIN_ROWS = 20_000
 MODEL_WORDS = 200_000
@@ -46,43 +56,67 @@ for _i, _c in enumerate(LETTERS):
     if len(_c.upper()) == 1 and ord(_c.upper()) < len(_CODE):
         _CODE[ord(_c.upper())] = _i + 1
 _ID = {c: i + 1 for i, c in enumerate(LETTERS)}
+_PLAIN = np.full(64, 31, np.int32)                    # codes of the 4-grams: the letter without its accent
+_PLAIN[0] = 0
+for _i, _c in enumerate(LETTERS):
+    _PLAIN[_i + 1] = _ID.get(unicodedata.normalize("NFD", _c)[0], 31) if ord(_c) > 122 else _i + 1
+    if _PLAIN[_i + 1] > 26:
+        _PLAIN[_i + 1] = _ID[{"ß": "s", "æ": "a", "ø": "o", "œ": "o"}[_c]]
+_PLAIN_ID = {c: int(_PLAIN[i]) for c, i in _ID.items()}
 _EDGE = ".,;:?!\"'()[]{}<>|*#%&~^=_/\\-–—…«»“”‘’`+"
 _ODD = re.compile(r"[^\W\d_][^a-zà-ÿœ]+[^\W\d_]|(?:^|[^\W\d_])[0-9@$!|+(€£¡]+(?:[^\W\d_]|$)|([^\W\d_])\1\1")
 _LETTER = re.compile(r"[^\W\d_]")
 _SPELT = re.compile(r"(?<!\S)\S(?:[ ._-]\S){2,}(?!\S)")
 
 
-def trigram_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Counts of letter trigrams (0: word edge) over every text, as a (64, 64, 64) array."""
+class Model(NamedTuple):
+    """Counts, or log probabilities of the last letter: of three letters, and of four with their accents off."""
+
+    three: np.ndarray
+    four: np.ndarray
+
+
+def trigram_counts(docs: DataFrame, text_col: str = "text") -> Model:
+    """Counts of letter trigrams and 4-grams (0: word edge) over every text, as (64, 64, 64) and (32, 32, 32, 32) arrays."""
     def run(batches):
-        total = np.zeros(1 << 18, np.int64)
+        total, four = np.zeros(1 << 18, np.int64), np.zeros(1 << 20, np.int64)
         for batch in batches:
             for part in text_chunks(batch, "dfx_text", 1 << 20):
                 joined = "\n\n".join(t for t in part.column(0).to_pylist() if t)
                 for at in range(0, len(joined), 1 << 20):
-                    points = np.frombuffer(joined[max(0, at - 2):at + (1 << 20)].encode("utf-32-le", "surrogatepass"), np.uint32)
+                    points = np.frombuffer(joined[max(0, at - 3):at + (1 << 20)].encode("utf-32-le", "surrogatepass"), np.uint32)
                     code = _CODE[np.minimum(points, len(_CODE) - 1)].astype(np.int32)
+                    plain = _PLAIN[code]
+                    four += np.bincount((plain[:-3] << 15) | (plain[1:-2] << 10) | (plain[2:-1] << 5) | plain[3:], minlength=1 << 20)
+                    code = code[1:] if at else code
                     cell = (code[:-2] << 12) | (code[1:-1] << 6) | code[2:]
                     total += np.bincount(cell, minlength=1 << 18)
+        total = np.concatenate([total, four])
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
         tidy()
 
     cells = docs.select(F.col(text_col).alias("dfx_text")).mapInArrow(run, "cell long, n long")
-    got = cells.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()      # 262,144 rows at most
-    counts = np.zeros(1 << 18)
+    got = cells.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()      # 1,310,720 rows at most
+    counts = np.zeros((1 << 18) + (1 << 20))
     counts[got["cell"].to_numpy(dtype=np.int64)] = got["n"].to_numpy()
-    return counts.reshape(64, 64, 64)
+    return Model(counts[:1 << 18].reshape(64, 64, 64), counts[1 << 18:].reshape(32, 32, 32, 32))
 
 
-def language_model(counts: np.ndarray) -> np.ndarray:
-    """log P(c | a, b): trigrams backed off to bigrams and letters."""
-    one = counts.sum(axis=(0, 1)) + 1.0
-    one /= one.sum()
-    two = counts.sum(axis=0)
-    two = (two + 20.0 * one[None, :]) / (two.sum(axis=1, keepdims=True) + 20.0)
-    three = (counts + 5.0 * two[None, :, :]) / (counts.sum(axis=2, keepdims=True) + 5.0)
-    return np.log(three).astype(np.float32)
+def _backed_off(counts: np.ndarray) -> np.ndarray:
+    """P(last | those before): the longest context backed off to shorter ones."""
+    one = counts.sum(axis=tuple(range(counts.ndim - 1))) + 1.0
+    p = one / one.sum()
+    for n in range(2, counts.ndim + 1):
+        seen = counts.sum(axis=tuple(range(counts.ndim - n)))
+        weight = 20.0 if n == 2 else 5.0
+        p = (seen + weight * p[None]) / (seen.sum(axis=-1, keepdims=True) + weight)
+    return p
+
+
+def language_model(counts: Model) -> Model:
+    """log P(c | a, b): trigrams backed off to bigrams and letters; 4-grams likewise."""
+    return Model(*(np.log(_backed_off(c)).astype(np.float32) for c in counts))
 
 
 def lattice(token: str) -> list[list[tuple[str, float]]]:
@@ -109,29 +143,64 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def decode(token: str, model: np.ndarray) -> str:
+def spelt_lattice(run: str) -> Iterator[list[tuple[str, float]]]:
+    """The lattice of characters (even places of ``run``) with a separator between each two.
+
+    Of equal characters in a row, those after the first may be left out for
+    nothing, as in ``lattice``: letters from three in a row, signs from two.
+    """
+    chars = run[::2]
+    for i, c in enumerate(chars):
+        if i:
+            yield BETWEEN
+        if c in WILD:
+            yield from lattice(c)
+            continue
+        again = i > 0 and chars[i - 1] == c
+        if c.isalpha():
+            three = (chars[max(0, i - 2):i] == c * 2) or (chars[max(0, i - 1):i + 2] == c * 3) or (chars[i:i + 3] == c * 3)
+            yield ([(c, 0.5)] + ([("", 0.0)] if again else [])) if three else [(c, 0.0)]
+        elif c in SIGNS and again:
+            yield [(x, 0.5) for x in SIGNS[c]] + [("", 0.0)]
+        else:
+            yield from lattice(c)
+
+
+def decode(token: str, model: Model) -> str:
     """The likeliest word behind ``token`` (lower case)."""
-    paths = {(0, 0): (0.0, "")}
-    for options in [*lattice(token), [("\0", 0.0)]]:
-        new: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (cost, text) in paths.items():
+    return best_path(lattice(token), model.three, _ID)
+
+
+def best_path(positions: Iterable[list[tuple[str, float]]], model: np.ndarray, ids: dict[str, int]) -> str:
+    """The likeliest text through the positions under ``model``; word edges within it are EDGE."""
+    paths = {(0,) * (model.ndim - 1): (0.0, "")}
+    settled, other = [], model.shape[0] - 1
+    for at, options in enumerate(chain(positions, [[(EDGE, 0.0)]]), 1):
+        new: dict[tuple[int, ...], tuple[float, str]] = {}
+        for before, (cost, text) in paths.items():
             for s, price in options:
-                x, y, total = a, b, cost + price
+                if options is BETWEEN and s and before[-1] == 0:
+                    continue                               # no word without a letter
+                state, total = before, cost + price
                 for ch in s:
-                    z = 0 if ch == "\0" else _ID.get(ch, 63)
-                    total -= float(model[x, y, z])
-                    x, y = y, z
-                old = new.get((x, y))
+                    state = (*state, 0 if ch == EDGE else ids.get(ch, other))
+                    total -= float(model[state])
+                    state = state[1:]
+                old = new.get(state)
                 if old is None or total < old[0]:
-                    new[x, y] = (total, text + s)
+                    new[state] = (total, text + s)
         paths = new
-    return min(paths.values())[1].rstrip("\0")
+        if at % 64 == 0:                                   # what all paths begin with is written once
+            same = len(commonprefix([text for _, text in paths.values()]))
+            settled.append(next(iter(paths.values()))[1][:same])
+            paths = {k: (cost, text[same:]) for k, (cost, text) in paths.items()}
+    return ("".join(settled) + min(paths.values())[1]).rstrip(EDGE)
 
 
 class Restorer:
     """Words of a text after restoration, with a bounded cache of decoded tokens."""
 
-    def __init__(self, model: np.ndarray):
+    def __init__(self, model: Model):
         self.model, self.cache = model, {}
 
     def token(self, token: str) -> str:
@@ -142,23 +211,21 @@ class Restorer:
         wide = token.strip(".,;:?\"'")
         if not _LETTER.search(wide):
             return ""
-        if len(wide) > 40 or not _ODD.search(bare if _LETTER.search(bare) else wide):
+        if not _ODD.search(bare if _LETTER.search(bare) else wide):
             return bare
         return decode(bare if _ODD.search(bare) else wide, self.model)
 
     def spelt(self, text: str) -> list[str]:
         """Words spelt out as single characters ("i d i o t")."""
-        out = []
-        for m in _SPELT.finditer(text):
-            run = re.sub(r"[ ._-]", "", m.group())
-            if 3 <= len(run) <= 40 and _LETTER.search(run):
-                out.append(decode(run, self.model))
-        return out
+        return [word for m in _SPELT.finditer(text) if _LETTER.search(m.group()) for word in self.run(m.group())]
+
+    def run(self, run: str) -> list[str]:
+        """The words of one run of single characters and separators."""
+        return [word for word in best_path(spelt_lattice(run), self.model.four, _PLAIN_ID).split(EDGE) if word]
 
     def restored(self, text: str) -> str:
         """The whole text with its obfuscated tokens replaced (white space as it was)."""
-        text = _SPELT.sub(lambda m: decode(re.sub(r"[ ._-]", "", m.group())[:40], self.model)
-                          if 3 <= len(m.group()) <= 80 and _LETTER.search(m.group()) else m.group(), text.lower())
+        text = _SPELT.sub(lambda m: " ".join(self.run(m.group())) if _LETTER.search(m.group()) else m.group(), text.lower())
         return re.sub(r"\S+", lambda m: self.token(m.group()) or m.group(), text)
 
 
@@ -189,7 +256,7 @@ def _summary(odds: list[float]) -> list[float]:
     return [1.0, top[0], top[1], top[2], math.log1p(sum(o > 2.5 for o in odds))]
 
 
-def fit(sample: DataFrame, model: np.ndarray) -> dict:
+def fit(sample: DataFrame, model: Model) -> dict:
     """{"odds": word -> log odds, "beta": weights} from (dfx_id, dfx_y, dfx_text).
 
     Words are counted in FOLDS folds, and the regression sees every document
@@ -265,9 +332,9 @@ def _counts(seen: Counter) -> pa.RecordBatch:
         names=["f", "fold", "toxic", "clean"])
 
 
-def score(docs: DataFrame, model: np.ndarray, fitted: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, fitted: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` and ``dfx_score``."""
-    shared = docs.sparkSession.sparkContext.broadcast((model, fitted))    # 1 MB and MODEL_WORDS words at most
+    shared = docs.sparkSession.sparkContext.broadcast((model, fitted))    # 5 MB and MODEL_WORDS words at most
 
     def run(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(*shared.value)                 # its word cache goes with the task
@@ -280,7 +347,7 @@ def score(docs: DataFrame, model: np.ndarray, fitted: dict, id_col: str = "doc_i
 
 
 class Scorer:
-    def __init__(self, model: np.ndarray, fitted: dict):
+    def __init__(self, model: Model, fitted: dict):
         self.restorer, self.fitted = Restorer(model), fitted
         self.odds, self.beta, self.cache = fitted["odds"], fitted["beta"], {}
 
