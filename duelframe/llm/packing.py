@@ -141,13 +141,13 @@ def merge_open(left: DataFrame, size: int, open_windows: int) -> DataFrame:
         return rows
 
     state = left.select("dfx_seq", F.col("dfx_seq").alias("to_seq"), F.lit(0).cast("long").alias("shift"),
-                        "used", F.col("part").alias("grp"), F.lit(True).alias("live"))
-    groups, done = (left.agg(F.max("part")).first()[0] or 0) + 1, None
+                        "used", F.floor(F.col("part") / FAN_IN).alias("grp"), F.lit(True).alias("live"))
+    groups, done = (left.agg(F.max("part")).first()[0] or 0) // FAN_IN + 1, None
     while True:
         state = written(state.groupBy("grp").applyInPandas(meet, state.schema), "pack-open")
-        groups = -(-groups // FAN_IN)
         done = state.filter("not live") if done is None else done.unionByName(state.filter("not live"))
         state = state.filter("live")
-        if groups <= 1:
+        if groups <= 1:                                # all that was left has met
             break
+        groups = -(-groups // FAN_IN)
     return done.unionByName(state).select("dfx_seq", "to_seq", "shift")
