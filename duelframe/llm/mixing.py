@@ -94,9 +94,10 @@ def mix_plan(docs: DataFrame, entropy: float | None = None, repeats: float | Non
              text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(source, block, pass, position, weight, alpha): the blocks drawn, in order of ``position`` within a source.
 
-    Whole passes come first; the last pass takes blocks in its permuted
-    order while the tokens before a block are under the quota, so a source
-    overshoots by less than one block.  A null source is a source.  Rows
+    Whole passes come first, with every block, also those without a token;
+    a last pass in part takes blocks in its permuted order while the tokens
+    before a block are under the quota, so a source overshoots by less than
+    one block.  A null source is a source.  Rows
     with a null id share a block.
     """
     rows = docs.select(F.col(source_col).alias("source"), block_of(F.col(id_col), blocks, seed).alias("block"),
@@ -114,7 +115,7 @@ def mix_plan(docs: DataFrame, entropy: float | None = None, repeats: float | Non
     cells = cells.withColumn("before", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n"))
     cells = cells.withColumn("position", (F.col("pass") - 1) * F.lit(blocks) + F.row_number().over(w) - 1)
     left = F.col("quota") - (F.col("pass") - 1) * F.col("tokens")
-    return cells.filter((F.col("tokens") == 0) | (F.col("before") < left)).select(
+    return cells.filter((F.col("tokens") <= left) | (F.col("before") < left)).select(
         "source", "block", "pass", "position", "weight", "alpha")
 
 
