@@ -5,19 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: each side of the grid of classes is dealt over this many parts, and every part meets every other in a key of its own
+GRID_PARTS = 16
+
 
 def confusion_matrix(df: DataFrame, y: str, yhat: str) -> DataFrame:
     """(y, yhat, n) for every pair of classes, missing cells as 0.
 
     Classes are the non-NULL values of either column, of any type; rows
     with a NULL on either side are in no cell.  Counts are one partial
-    aggregate, laid on the grid of classes by a null-free join.
+    aggregate, laid on the grid of classes by a null-free join.  The grid is
+    an equi-join of parts of the classes, so no task holds all of them.
     """
     cells = df.select(F.col(y).alias("y"), F.col(yhat).alias("yhat")).dropna()
     cells = cells.groupBy("y", "yhat").agg(F.count(F.lit(1)).alias("_n"))
-    seen = (df.select(F.col(y).alias("c")).union(df.select(F.col(yhat).alias("c"))).dropna()
-              .agg(F.collect_set("c").alias("cs")))
-    grid = seen.select(F.explode("cs").alias("y"), "cs").select("y", F.explode("cs").alias("yhat"))
+    seen = df.select(F.col(y).alias("c")).union(df.select(F.col(yhat).alias("c"))).dropna().distinct()
+    part = F.pmod(F.xxhash64("c"), F.lit(GRID_PARTS)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(GRID_PARTS - 1)))
+    rows = seen.select(F.col("c").alias("y"), part.alias("_a"), every.alias("_b"))
+    columns = seen.select(F.col("c").alias("yhat"), part.alias("_b"), every.alias("_a"))
+    grid = rows.join(columns, ["_a", "_b"]).select("y", "yhat")
     return grid.join(cells, ["y", "yhat"], "left").select(
         "y", "yhat", F.coalesce("_n", F.lit(0)).cast("bigint").alias("n"))
 
