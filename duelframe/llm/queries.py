@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelframe.llm import ann_forest, exact_dedup, html_extract, mixing, near_dedup, packing, quality, token_files, toxicity, warc_archive
+from duelframe.llm import (ann_forest, divergence, exact_dedup, fim_frames, html_extract, mixing, near_dedup, ngram_join, packing,
+                           quality, token_files, toxicity, warc_archive)
 from duelframe.llm.common import table
 from duelframe.session import scratch_path
 
@@ -79,6 +80,19 @@ def op10_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = fim_frames.write_frames(table(spark, sf_dir, "documents"))
+    return fim_frames.digests(fim_frames.fill_in_middle(store))
+
+
 OP2_SQL = f"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n,
     ('0x' || substr(md5('b1|' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT % {mixing.BLOCKS} AS block FROM documents),
@@ -114,6 +128,59 @@ g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(d.t) AS text_sha256 FROM d JOIN g ON d.t = g.t
 """
 
+_LOWER = f"translate(coalesce(text, ''), '{exact_dedup.UPPER}', '{exact_dedup.UPPER.lower()}')"
+
+OP11_SQL = f"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({_LOWER}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+o AS (SELECT lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term FROM (SELECT lang, unnest(list_distinct(w)) AS term FROM d) GROUP BY ALL HAVING count(*) >= {divergence.MIN_DOCS}),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM o JOIN k USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY ALL),
+f AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n, v.v,
+    sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source)::HUGEINT AS total
+    FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (SELECT lang, source, term, n, 1 + (1000000000 * (n + 5)) // (total + 5 * v) AS p FROM f),
+l AS (SELECT lang, term, sum(n)::HUGEINT AS n, any_value(v) AS v FROM f GROUP BY ALL),
+q AS (SELECT lang, term, 1 + (1000000000 * (n + 5)) // ((sum(n) OVER (PARTITION BY lang))::HUGEINT + 5 * v) AS q FROM l),
+x AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT g.lang, g.source, h.source AS item, coalesce(x.value, 0)::BIGINT AS value
+    FROM g JOIN g h ON g.lang = h.lang AND g.source <> h.source
+    LEFT JOIN x ON x.lang = g.lang AND x.source = g.source AND x.item = h.source),
+terms AS (SELECT lang, source, term AS item, (p - q)::BIGINT AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+r AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL SELECT lang, source, 'term', item, value FROM terms),
+s AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM r)
+SELECT * FROM s WHERE part = 'pair' OR rank <= {divergence.TOP}
+"""
+
+OP12_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 2], ' ') for i in range(1, len(w) - 1)]) END AS g FROM d),
+n AS (SELECT doc_id, len(g)::BIGINT AS n FROM s),
+e AS (SELECT doc_id, unnest(g) AS g FROM s),
+b AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM b JOIN n a ON a.doc_id = x JOIN n c ON c.doc_id = y WHERE 100 * o >= 90 * (a.n + c.n - o)),
+r(doc_id, other) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.doc_id, l.y FROM r JOIN l ON r.other = l.x)
+SELECT n.doc_id, n.n AS n_shingles, min(r.other) AS component_id FROM n JOIN r ON n.doc_id = r.doc_id GROUP BY ALL
+"""
+
+OP13_SQL = f"""
+WITH a AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS u,
+    sha256('{fim_frames.SEED}:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+b AS (SELECT *, len(u)::BIGINT AS n, [('0x' || substr(h, 1 + 8 * i, 8))::BIGINT for i in range(4)] AS r FROM a),
+c AS (SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS i, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS j FROM b),
+p AS (SELECT doc_id, t, n, coalesce(array_to_string(u[1:i], ''), '') AS pre, coalesce(array_to_string(u[i + 1:j], ''), '') AS mid,
+    coalesce(array_to_string(u[j + 1:n], ''), '') AS suf,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= {fim_frames.RATE} THEN 'plain'
+        WHEN r[4] % 100 < {fim_frames.SPM} THEN 'spm' ELSE 'psm' END AS form FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256 FROM p
+"""
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_html_extraction": (op1_html_extraction, None),
     "op2_source_mixing": (op2_source_mixing, OP2_SQL),
@@ -125,4 +192,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_nearest_neighbours": (op8_nearest_neighbours, None),
     "op9_token_files": (op9_token_files, None),
     "op10_sequence_packing": (op10_sequence_packing, None),
+    "op11_source_divergence": (op11_source_divergence, OP11_SQL),
+    "op12_ngram_join": (op12_ngram_join, OP12_SQL),
+    "op13_fill_in_middle": (op13_fill_in_middle, OP13_SQL),
 }
