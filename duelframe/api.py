@@ -35,7 +35,8 @@ from duelframe.operators.models import (  # noqa: F401  M8-M16, M18-M21
     linear_svm, logreg, mlp, pca, predict_horizons, random_forest, rank_results,
     repeat_eval, rfe,
 )
-from duelframe.operators.names import nearest_names, threshold_pairs  # noqa: F401  J7
+from duelframe.operators.name_index import nearest_names  # noqa: F401  J7
+from duelframe.operators.names import threshold_pairs  # noqa: F401
 from duelframe.operators.ordering import (  # noqa: F401  O3-O7, P17
     global_row_number, key_row_number, preview, reverse_order, shuffle_rows, top_half, top_k,
 )
@@ -59,6 +60,6 @@ from duelframe.sources.io import (  # noqa: F401  S1-S7
     from_records, literal_table, read_lines, read_table, records_from_json, write_lines,
     write_table,
 )
-from duelframe.sources.pages import (  # noqa: F401  S8-S11
-    page_field, page_items, page_labelled, page_links,
+from duelframe.sources.pages import (  # noqa: F401  S8-S11, X4
+    page_elements, page_field, page_items, page_labelled, page_links, page_records,
 )
