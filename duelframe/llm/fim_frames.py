@@ -130,7 +130,7 @@ def _batch(fields: str, columns: list[list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, split)], names=[n for n, _ in split])
 
 
-def write_frames(docs: DataFrame, folder: str | None = None, frame_bytes: int = 1 << 16, level: int = 1,
+def write_frames(docs: DataFrame, folder: str | None = None, frame_bytes: int = 1 << 16, level: int = 3,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The frame store of every row's text, written to ``folder`` (scratch if none) and read back.
 
@@ -160,7 +160,7 @@ def write_frames(docs: DataFrame, folder: str | None = None, frame_bytes: int =
 
 
 def _stored(df: DataFrame, folder: str) -> DataFrame:
-    df.write.option("compression", "uncompressed").parquet(folder)          # frames are compressed
+    df.write.option("compression", "zstd").parquet(folder)                  # for the seek tables; frames stay as they are
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
@@ -188,7 +188,7 @@ def transformed(doc_id: int | None, store: Frames, marked: bool, pack, unpack, s
 
 
 def fill_in_middle(store: DataFrame, folder: str | None = None, seed: int = SEED, rate: int = RATE, spm: int = SPM,
-                   level: int = 1) -> DataFrame:
+                   level: int = 3) -> DataFrame:
     """The transformed texts of a frame store, written as a frame store with n, form, prefix_chars and middle_chars.
 
     ``n`` is the number of lines.  Empty texts, texts that hold a marker and
