@@ -279,7 +279,7 @@ def fit(sample: DataFrame, model: Model) -> dict:
 
     n = {r["dfx_y"]: r["count"] for r in sample.groupBy("dfx_y").count().collect()}
     if not n.get(0) or not n.get(1):
-        return {"odds": {}, "beta": [0.0] * 5}
+        return {"odds": {}, "beta": [-30.0, 0.0, 0.0, 0.0, 0.0]}         # nothing learned, nothing is toxic
     rate = n[1] / (n[0] + n[1])
     cells = sample.mapInArrow(count, "f string, fold int, toxic long, clean long")
     per_fold = [F.sum(F.when(F.col("fold") == k, F.col(c)).otherwise(0)).alias(f"{c}{k}")
@@ -384,7 +384,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod: int
 
     Labels of held-out ids (crc32 remainder ``held``) are not read.  Null
     and empty texts are scored as texts without a word.  Without labelled
-    rows of both kinds every score is 0.5.
+    rows of both kinds nothing can be learned: every score is 0 but for 1e-13,
+    so no document counts as toxic.
     """
     small_batches(docs.sparkSession)
     model = language_model(trigram_counts(docs, text_col))
