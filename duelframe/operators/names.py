@@ -1,24 +1,18 @@
-"""Closest-name search without a cross product (J7 re-aimed, F12, F13, W1).
+"""All name pairs within an edit distance, without a cross product (F12, used by J5).
 
-The reference scores every (missing, available) pair with a Python edit
-distance on a cartesian RDD, then keeps the 7 best per name.  Here the
-pairs within edit distance ``t`` are found exactly with a segment join: an
+The pairs within edit distance ``t`` are found exactly with a segment join: an
 indexed string of length L is cut into t+1 segments; if ed(x, y) <= t, one
 segment of y occurs unchanged in x, shifted by at most (t ± Δ)/2 where
 Δ = |x| - |y| (pigeonhole + position filter).  So x only needs to probe
 keys (L, segment, substring) and the join is an equi-join — no all-pairs
-step.  ``nearest_names`` raises t in rounds (1, 2, 4, ...) for the names that
-do not yet have k partners within t; once t reaches the longest name every
-remaining partner qualifies, which is exact by construction.
+step.  The k closest names (J7) are found by the index of ``name_index``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duelframe.functions.text import indel_ratio
-
 
 def _segments(L, t: int):
     """Column expressions for (segment index, start, length) of t+1 segments."""
@@ -80,9 +74,6 @@ DELETION_MAX_T = 4
 # A length band is one key for every string of the length: its rows are dealt
 # over this many parts, to which the probing side is copied.
 BAND_PARTS = 16
-# Once so few names are left that comparing each with every partner is this
-# many pairs at most, one last round by length does it.
-LAST_ROUND_PAIRS = 20_000_000
 
 
 def threshold_pairs(left: DataFrame, right: DataFrame, t: int, x: str = "x",
@@ -145,57 +136,3 @@ def threshold_pairs(left: DataFrame, right: DataFrame, t: int, x: str = "x",
     probes = lx.unionByName(band)
 
     return _within(probes.join(ry, [*blk, "_L", "_i", "_seg"]), t, x, y, blk)
-
-
-def nearest_names(left: DataFrame, right: DataFrame, k: int = 7, x: str = "x", y: str = "y",
-                  with_ratio: bool = True, start_t: int = 2) -> DataFrame:
-    """Top-k closest right names per left name by (edit distance, name).
-
-    Thresholds run 2, 3, 4 (deletion-neighbourhood joins, cheap and sharp),
-    then grow by half (6, 9, 13, ...): each name is settled in the first round
-    whose threshold gives it k partners, so only names far from everything
-    reach the wide rounds.  The last few (``LAST_ROUND_PAIRS``) skip to the end.
-
-    Output: x, y, score (int), ratio (indel similarity, only for the kept
-    pairs) and rank 1..k.  Inputs are reduced to distinct names first.
-    """
-    from duelframe.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(left.sparkSession)
-    # the distinct names are read once and written once; every round reuses them
-    lx = left.select(F.col(x).alias("x")).where(F.col("x").isNotNull()).distinct() \
-             .checkpoint(eager=True)
-    ry = right.select(F.col(y).alias("y")).where(F.col("y").isNotNull()).distinct() \
-              .checkpoint(eager=True)
-    stats = ry.agg(F.count(F.lit(1)).alias("n"), F.max(F.length("y")).alias("m")).first()
-    n_right, max_right = int(stats["n"] or 0), int(stats["m"] or 0)
-    need = min(k, n_right)
-    max_left = lx.agg(F.max(F.length("x"))).first()[0] or 0
-    t_full = max(max_right, max_left)
-    w = Window.partitionBy("x").orderBy("score", "y")
-    found = None
-    todo = lx
-    t = start_t
-    while True:
-        t = min(t, t_full)
-        # k pairs for each name are all that a round can add
-        pairs = (threshold_pairs(todo, ry, t).withColumn("rank", F.row_number().over(w))
-                 .filter(F.col("rank") <= k).checkpoint(eager=True))
-        counts = pairs.groupBy("x").agg(F.count(F.lit(1)).alias("_c"))
-        done = counts.filter(F.col("_c") >= need).select("x") if t < t_full else todo
-        kept = pairs.join(done, "x", "left_semi")
-        found = kept if found is None else found.unionByName(kept)
-        if t >= t_full:
-            break
-        todo = todo.join(done, "x", "left_anti")
-        todo = todo.checkpoint(eager=True)
-        left_over = todo.count()
-        if not left_over:
-            break
-        t = t + 1 if t < DELETION_MAX_T else t * 3 // 2
-        if left_over * n_right <= LAST_ROUND_PAIRS:
-            t = t_full
-    top = found
-    if with_ratio:
-        top = top.withColumn("ratio", F.round(indel_ratio("x", "y"), 6))
-    return top

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from duelframe.functions import keys as K
 from duelframe.functions import text as T
-from duelframe.operators.names import nearest_names, threshold_pairs
+from duelframe.operators.name_index import nearest_names
+from duelframe.operators.names import threshold_pairs
 
 
 def lev(a, b):
@@ -76,9 +77,9 @@ def test_ratio_and_keys_properties(spark):
 
 
 def test_arrow_lcs_matches_expression(spark):
-    from duelframe.functions.text import _lcs_bits
+    from duelframe.functions.bits import long_lcs
 
-    assert _lcs_bits("kitten", "sitting") == 4
+    assert long_lcs("kitten", "sitting") == 4
     rng = random.Random(5)
     pairs = [(a, b) for a, b in zip(_words(rng, 25, "abcd", 0, 90), _words(rng, 25, "abcd", 0, 90))]
     pairs += [("", "x"), ("kitten", "sitting")]
@@ -86,7 +87,7 @@ def test_arrow_lcs_matches_expression(spark):
     rows = df.select("a", "b", T.indel_ratio("a", "b").alias("e"),
                      T.indel_ratio("a", "b", method="arrow").alias("u")).collect()
     for r in rows:
-        assert abs(r.e - r.u) < 1e-12 and _lcs_bits(r.a, r.b) == lcs(r.a, r.b)
+        assert abs(r.e - r.u) < 1e-12 and long_lcs(r.a, r.b) == lcs(r.a, r.b)
 
 
 def test_lcs_forms_agree_on_long_and_short(spark):

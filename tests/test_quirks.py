@@ -70,7 +70,7 @@ def test_q4_safe_ratio(spark):
 
 
 def test_q8_top7_ties_by_name(spark):
-    from duelframe.operators.names import nearest_names
+    from duelframe.operators.name_index import nearest_names
 
     left = spark.createDataFrame([("aaa",)], "x string")
     right = spark.createDataFrame([(n,) for n in ["aab", "aac", "aad", "abb", "zzz"]], "y string")

@@ -70,10 +70,10 @@ def test_letters_of_other_scripts(spark):
     assert got == ["stefan", "nguyen", "ivan shchukin", "emile", "oyvind", None]
 
 
-def test_nearest_names_equal_brute_force_by_rounds_and_at_once(spark, monkeypatch):
+def test_nearest_names_equal_brute_force_in_blocks_of_any_size(spark, monkeypatch):
     import random
 
-    from duelframe.operators import names as N
+    from duelframe.operators import name_index as N
 
     def edits(a, b):
         row = list(range(len(b) + 1))
@@ -89,10 +89,13 @@ def test_nearest_names_equal_brute_force_by_rounds_and_at_once(spark, monkeypatc
     want = {(x, y, n + 1) for x in xs for n, (_, y) in enumerate(sorted((edits(x, y), y) for y in ys)[:4])}
     left = spark.createDataFrame([(x,) for x in xs + xs[:3]] + [(None,)], "x string")
     right = spark.createDataFrame([(y,) for y in ys] + [(None,)], "y string")
-    for limit in (0, 10 ** 9):
-        monkeypatch.setattr(N, "LAST_ROUND_PAIRS", limit)
+    for block, slot, strip in ((8192, 4096, 64), (7, 3, 2), (1, 1, 1)):
+        monkeypatch.setattr(N, "BLOCK", block)
+        monkeypatch.setattr(N, "SLOT", slot)
+        monkeypatch.setattr(N, "STRIP", strip)
         got = {(r.x, r.y, r.rank) for r in N.nearest_names(left, right, k=4).collect()}
-        assert got == want, limit
+        assert got == want, block
+    assert N.nearest_names(left, right.limit(0)).count() == 0 and N.nearest_names(left.limit(0), right).count() == 0
 
 
 def test_best_match_treats_missing_names_alike(spark):
