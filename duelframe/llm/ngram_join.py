@@ -17,9 +17,8 @@ never counted, and no linked pair is lost.  A block's content is known by a
 
 Product.  Each key names one *hub* row, the class that meets most others,
 and the overlaps of the hub with the key's rows are counted: m classes need
-m - 1 entries.  A key whose rows lie in one component is done; a second hub
-from another component is tried on the rest.  What is left is counted
-centred on the hub: with D(x) the n-grams apart between x and its hub u,
+m - 1 entries.  A key whose rows lie in one component is done.  What is left
+is counted centred on the hub: with D(x) the n-grams apart between x and its hub u,
 x and y are apart by |D(x)| + |D(y)| - 2 |D(x) & D(y)|, so only the sparse
 product of the rows D is needed, and of D's entries only those that a pair
 above the size-derived bound must share, rarest first.  Every pair found is
@@ -44,7 +43,6 @@ from duelframe.llm.components import connected_components
 _U = np.uint64
 GROWTH = 1.5                       # of the sizes of a band
 CLASS = ["dfx_d1", "dfx_d2", "dfx_n"]
-HUBS = 2
 
 
 def bands(largest: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -140,40 +138,71 @@ def _to_rows(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
     return rows.join(there, [key, "salt"])
 
 
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (u, v, ...) with their n-grams su and sv."""
+    pairs = pairs.withColumn("salt", _salt("v", pairs))
+    left = pairs.select("u", "salt").distinct().join(sets.select(F.col("dfx_c").alias("u"), F.col("dfx_set").alias("su")), "u")
+    right = pairs.join(sets.select(F.col("dfx_c").alias("v"), F.col("dfx_set").alias("sv")), "v")
+    return right.join(left, ["u", "salt"])
+
+
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(u, v, nu, nv, both, su, sv) of the pairs: sizes, and the product's entry."""
-    right = pairs.select("u", "v", _salt("v", pairs).alias("salt")).join(
-        sets.select(F.col("dfx_c").alias("v"), F.col("dfx_set").alias("sv")), "v")
-    left = pairs.select("u", _salt("v", pairs).alias("salt")).distinct().join(
-        sets.select(F.col("dfx_c").alias("u"), F.col("dfx_set").alias("su")), "u")
+    """(u, v, nu, nv, both): sizes of the sets of each pair, and the product's entry."""
     both = F.size(F.array_intersect("su", "sv")).cast("long")
-    return right.join(left, ["u", "salt"]).select(
-        "u", "v", F.size("su").cast("long").alias("nu"), F.size("sv").cast("long").alias("nv"), both.alias("both"), "su", "sv")
+    return _with_sets(pairs, sets).select(
+        "u", "v", F.size("su").cast("long").alias("nu"), F.size("sv").cast("long").alias("nv"), both.alias("both"))
 
 
 def _linked(both: str, nu: str, nv: str, percent: int):
     return F.expr(f"100 * {both} >= {percent} * ({nu} + {nv} - {both})")
 
 
-def _live(members: DataFrame, labels: DataFrame, name: str) -> DataFrame:
-    """(key, salt, c, w, lab) of the keys whose rows lie in more than one component."""
-    now = members.join(labels.select(F.col("id").alias("c"), F.col("lab").alias("now")), "c", "left")
-    now = now.withColumn("lab", F.coalesce("now", "c")).drop("now")
+def _live(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, salt, c, u, lab) of the keys whose rows lie in more than one component."""
+    now = members.join(labels.select(F.col("id").alias("c"), "lab"), "c", "left").withColumn("lab", F.coalesce("lab", "c"))
     ends = now.groupBy("key", "salt").agg(F.min("lab").alias("lo"), F.max("lab").alias("hi"))
     mixed = ends.groupBy("key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo < hi").select("key")
-    return written(_to_rows(now, mixed, "key"), name)
+    return now.join(ends.select("key", "salt").join(mixed, "key"), ["key", "salt"])
+
+
+def _differences(batches, percent: int):
+    """(u, v, nu, nv, lab, linked, a, e) for each n-gram ``e`` that only one of the sets su and sv has; ``a`` counts them."""
+    for batch in batches:
+        left, right = batch.column("su"), batch.column("sv")
+        nu, nv = (c.value_lengths().to_numpy().astype(np.int64) for c in (left, right))
+        ends = np.cumsum(nu + nv)
+        at = 0
+        while at < batch.num_rows:                       # about a million n-grams at once
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + (1 << 20), side="right")))
+            k = to - at
+            row = np.concatenate([np.repeat(np.arange(k), n[at:to]) for n in (nu, nv)])
+            e = np.concatenate([c.slice(at, k).flatten().to_numpy() for c in (left, right)])
+            order = np.lexsort((e, row))
+            row, e = row[order], e[order]
+            same = (row[1:] == row[:-1]) & (e[1:] == e[:-1])
+            alone = np.ones(len(e), bool)
+            alone[1:] &= ~same
+            alone[:-1] &= ~same
+            row, e = row[alone], e[alone]
+            a = np.bincount(row, minlength=k)
+            both = (nu[at:to] + nv[at:to] - a) // 2
+            linked = 100 * both >= percent * (nu[at:to] + nv[at:to] - both)
+            u, v, lab = (batch.column(c).to_numpy()[at:to][row] for c in ("u", "v", "lab"))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in (u, v, nu[at:to][row], nv[at:to][row], lab, linked[row], a[row], e)],
+                names=["u", "v", "nu", "nv", "lab", "linked", "a", "e"])
+            at = to
 
 
 def _apart(star: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs that may still be links, from (hub u, class v, lab): the sparse product of what sets the rows apart from their hub."""
-    rows = _overlaps(star, sets).join(star.select("u", "v", "lab"), ["u", "v"])
-    apart = F.concat(F.array_except("su", "sv"), F.array_except("sv", "su"))
-    cells = rows.select("u", "v", "nu", "nv", "lab", _linked("both", "nu", "nv", percent).alias("linked"),
-                        F.size(apart).cast("long").alias("a"), F.explode(apart).alias("e"))
+    rows = _with_sets(star.select("u", "v", "lab"), sets).select("u", "v", "lab", "su", "sv")
+    cells = rows.mapInArrow(lambda batches: _differences(batches, percent),
+                            "u long, v long, nu long, nv long, lab long, linked boolean, a long, e long")
     cells = written(cells, "join-apart")
-    seen = cells.groupBy("u", "e").agg(F.count(F.lit(1)).alias("seen"))
+    seen = cells.groupBy("u", "e").agg(F.count(F.lit(1)).alias("seen"), (F.min("lab") < F.max("lab")).alias("mixed"))
     rank = F.row_number().over(Window.partitionBy("u", "v").orderBy("seen", "e"))
-    ranked = cells.join(seen, ["u", "e"]).withColumn("r", rank).filter("seen > 1")
+    ranked = cells.join(seen, ["u", "e"]).withColumn("r", rank).filter("mixed")
     more, less = 100 + percent, 100 - percent
     # linked with a row that fails against the hub: 2 * shared * more >= a * more + (nu - nv) * less
     least = F.expr(f"-floor(-(a * {more} + (nu - nv) * {less}) / {2 * more})")
@@ -213,7 +242,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     here = spread.groupBy("key", "salt").agg(F.count(F.lit(1)).alias("k"))
     shared = here.groupBy("key").agg(F.sum("k").alias("m")).filter("m > 1")
     met = written(spread.join(here.join(shared, "key").drop("k"), ["key", "salt"]), "join-met")
-    members = met.join(met.groupBy("c").agg(F.sum("m").alias("w")), "c").select("key", "salt", "c", "w", F.col("c").alias("lab"))
+    members = met.join(met.groupBy("c").agg(F.sum("m").alias("w")), "c").select("key", "salt", "c", "w")
     members = written(members, "join-members")
 
     # the sets of those classes
@@ -225,32 +254,21 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     sets = sets.join(cand.drop("dfx_want"), CLASS).select("dfx_c", "dfx_set").dropDuplicates(["dfx_c"])
     sets = written(sets, "join-sets")
 
-    labels, live, stars = None, members, []
-    for turn in range(HUBS):
-        far = live
-        if labels is not None:                             # the next hub lies in another component than the last
-            far = _to_rows(live, stars[-1].groupBy("key").agg(F.max("lab").alias("hublab")), "key").filter("lab <> hublab")
-        best = F.max(F.struct("w", F.negative("c").alias("c"), "lab")).alias("h")
-        hub = far.groupBy("key", "salt").agg(best).groupBy("key").agg(F.max("h").alias("h"))
-        hub = hub.select("key", F.negative("h.c").alias("u"), F.col("h.lab").alias("hublab"))
-        star = _to_rows(live, hub, "key").filter("c <> u")
-        if labels is not None:
-            star = star.filter("lab <> hublab")
-        pairs = star.select("u", F.col("c").alias("v")).distinct()
-        found = _overlaps(pairs, sets).filter(_linked("both", "nu", "nv", percent)).select("u", "v")
-        found = written(found, f"join-star{turn}")
-        labels = connected_components(found, labels)
-        stars.append(written(hub.select("key", F.col("u").alias("id")).join(labels, "id", "left").select(
-            "key", F.col("id").alias("u"), F.coalesce("lab", "id").alias("lab")), f"join-hubs{turn}"))
-        live = _live(members if turn == 0 else live.select(*members.columns), labels, f"join-live{turn}")
-        if live.isEmpty():
-            break
-    else:                                                  # exactly the rest, centred on the first hubs
-        star = _to_rows(live, stars[0].select("key", "u"), "key").filter("c <> u")
-        star = written(star.select("u", F.col("c").alias("v"), "lab").distinct(), "join-rest")
-        pairs = _apart(star, sets, percent)
-        found = _overlaps(pairs, sets).filter(_linked("both", "nu", "nv", percent)).select("u", "v")
-        labels = connected_components(written(found, "join-found"), labels)
+    # the hub's row of the product
+    best = F.max(F.struct("w", F.negative("c").alias("c"))).alias("h")
+    hub = members.groupBy("key", "salt").agg(best).groupBy("key").agg(F.max("h").alias("h"))
+    members = _to_rows(members.drop("w"), hub.select("key", F.negative("h.c").alias("u")), "key")
+    members = written(members, "join-hubs")
+    pairs = members.filter("c <> u").select("u", F.col("c").alias("v")).distinct()
+    found = _overlaps(pairs, sets).filter(_linked("both", "nu", "nv", percent)).select("u", "v")
+    labels = connected_components(written(found, "join-star"))
+
+    # exactly the rest, centred on the hubs
+    live = _live(members, labels).filter("c <> u")
+    live = written(live.select("u", F.col("c").alias("v"), "lab").distinct(), "join-live")
+    if not live.isEmpty():
+        found = _overlaps(_apart(live, sets, percent), sets).filter(_linked("both", "nu", "nv", percent)).select("u", "v")
+        labels = connected_components(written(found, "join-rest"), labels)
 
     # the smallest id of each component, back to the rows by (class, run)
     comp = classes.join(labels, classes["dfx_c"] == labels["id"], "left").select(
