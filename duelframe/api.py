@@ -9,7 +9,7 @@ from duelframe.functions.keys import (  # noqa: F401  F1-F8, F14-F16
     transliterate,
 )
 from duelframe.functions.numeric import (  # noqa: F401  F17-F21, A22
-    abs_pct_floor_half, add_ratios, fill_category, fill_zero, finite_or_max, nan_to_null,
+    abs_percent, add_ratios, fill_category, fill_zero, finite_or_max, floor_half, nan_to_null,
     row_mean, safe_ratio,
 )
 from duelframe.functions.text import (  # noqa: F401  F9-F13, F22-F24
@@ -41,8 +41,8 @@ from duelframe.operators.ordering import (  # noqa: F401  O3-O7, P17
     global_row_number, key_row_number, preview, reverse_order, shuffle_rows, top_half, top_k,
 )
 from duelframe.operators.prep import (  # noqa: F401  M1-M7, M17, M22-M24
-    clean_competitors, encode_auto, feature_set, label_encode, minmax, one_hot,
-    prepare_careers, select_correlated, split, split_stratified, standardize,
+    category_codes, clean_competitors, encode_auto, feature_set, label_encode, minmax, one_hot, one_hot_vector,
+    prepare_careers, select_correlated, sparse_entries, split, split_stratified, standardize,
 )
 from duelframe.operators.project import (  # noqa: F401  P1-P19
     binary_label, columns_by_type, drop_blank, drop_columns, drop_value, if_column,

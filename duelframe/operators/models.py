@@ -144,11 +144,12 @@ def right_size(df: DataFrame) -> DataFrame:
     """Persist training data with about ``ROWS_PER_FIT_PARTITION`` rows per
     partition (capped by spark.sql.shuffle.partitions): iterative fits run one
     job per iteration, so empty or tiny partitions only add task overhead."""
+    df = df.persist()
     n = df.count()
     cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     want = max(1, min(cap, -(-n // ROWS_PER_FIT_PARTITION)))
     # coalesce never adds partitions, so a smaller input keeps its own count
-    return df.coalesce(want).persist()
+    return df.coalesce(want)
 
 
 def compare_models(df: DataFrame, models: dict[str, Callable[[int], object]], k: int = 5,

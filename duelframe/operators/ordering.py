@@ -116,20 +116,20 @@ def top_k(df: DataFrame, order, k: int) -> DataFrame:
 
 
 def preview(df: DataFrame, order, n: int = 5, tail: bool = False) -> DataFrame:
-    """Head (or tail) rows in ``order``; tail = top-n of the reversed order, shown in ``order``."""
+    """Head (or tail) rows in ``order``, shown in ``order``.
+
+    ``order`` holds column names (ascending) or any sort expressions.  The
+    head, and the tail by names, is a per-task top-n; the tail by expressions,
+    whose direction cannot be turned round, goes by the distributed row number.
+    """
     cols = _as_cols(order)
-    if tail:
-        return df.orderBy(*[_reverse(c) for c in cols]).limit(n).orderBy(*cols)
-    return df.orderBy(*cols).limit(n)
-
-
-def _reverse(c: Column) -> Column:
-    s = c._jc.toString()
-    if s.endswith(" DESC NULLS LAST"):
-        return F.col(s[: -len(" DESC NULLS LAST")]).asc_nulls_first()
-    if s.endswith(" ASC NULLS FIRST"):
-        return F.col(s[: -len(" ASC NULLS FIRST")]).desc_nulls_last()
-    return c.desc_nulls_last()
+    if not tail:
+        return df.orderBy(*cols).limit(n)
+    names = [order] if isinstance(order, str) else order if isinstance(order, (list, tuple)) else [order]
+    if all(isinstance(c, str) for c in names):
+        return df.orderBy(*[F.col(c).desc_nulls_last() for c in names]).limit(n).orderBy(*cols)
+    numbered = global_row_number(df, cols, "_row")
+    return numbered.orderBy(F.desc("_row")).limit(n).orderBy("_row").drop("_row")
 
 
 def shuffle_key(id_col, seed: int | None = 0) -> Column:

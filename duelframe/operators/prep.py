@@ -32,7 +32,7 @@ def _category_values(df: DataFrame, col: str, limit: int) -> list:
     vals = (df.select(F.col(col)).where(F.col(col).isNotNull()).distinct()
               .limit(limit + 1).collect())
     if len(vals) > limit:
-        raise ValueError(f"{col} has more than {limit} categories; use a vector encoder")
+        raise ValueError(f"{col} has more than {limit} categories; use one_hot_vector")
     return sorted(r[0] for r in vals)
 
 
@@ -56,8 +56,62 @@ def one_hot(df: DataFrame, cols: list[str], nulls: str = "zero",
     return out
 
 
-def encode_auto(df: DataFrame, skip: list[str] | None = None) -> DataFrame:
-    """M3: per categorical column: any NULL -> one-hot (null row zero), else codes."""
+def category_codes(df: DataFrame, col: str, nulls: str = "zero") -> DataFrame:
+    """(value, code, rows): the distinct values of a column in ascending order, codes from 0.
+
+    A distributed rank: no value passes the driver, so any number of values
+    will do.  ``nulls='category'`` counts NULL as the value '0'.
+    """
+    values = df.select(F.col(col).alias("value"))
+    if nulls == "category":
+        values = values.select(F.coalesce(F.col("value").cast("string"), F.lit("0")).alias("value"))
+    counts = values.where(F.col("value").isNotNull()).groupBy("value").agg(F.count(F.lit(1)).alias("rows"))
+    codes = global_row_number(counts, ["value"], "_code")
+    return codes.select("value", (F.col("_code") - 1).cast("int").alias("code"), "rows")
+
+
+def one_hot_vector(df: DataFrame, cols: list[str], nulls: str = "zero", output: str = "one_hot") -> DataFrame:
+    """M2 for any number of values: one sparse vector column for ``cols``, which are dropped.
+
+    Place ``code`` (see ``category_codes``), after the values of the columns
+    before it, is 1; a NULL row has no 1 (``'zero'``) or that of the value '0'
+    (``'category'``).  The codes travel by a join (broadcast if small), the
+    vectors are made in the JVM.
+    """
+    from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+
+    if nulls not in ("zero", "category"):
+        raise ValueError("nulls must be 'zero' or 'category'")
+    out, parts = df, []
+    for i, c in enumerate(cols):
+        codes = category_codes(df, c, nulls).select(F.col("value").alias("_v"), F.col("code").alias(f"_code{i}")).checkpoint(eager=True)
+        n = codes.count()
+        key = F.col(c) if nulls == "zero" else F.coalesce(F.col(c).cast("string"), F.lit("0"))
+        out = out.join(broadcast_if_small(codes), key == F.col("_v"), "left").drop("_v", c)
+        out = out.withColumn(f"_code{i}", F.coalesce(f"_code{i}", F.lit(n)).cast("double"))
+        # fitted on the number of values alone; place n, which is dropped, stands for NULL
+        size = df.sparkSession.createDataFrame([(float(n),)], [f"_code{i}"])
+        encoder = OneHotEncoder(inputCols=[f"_code{i}"], outputCols=[f"_hot{i}"], dropLast=True).fit(size)
+        out = encoder.transform(out).drop(f"_code{i}")
+        parts.append(f"_hot{i}")
+    return VectorAssembler(inputCols=parts, outputCol=output).transform(out).drop(*parts)
+
+
+def sparse_entries(df: DataFrame, id_col: str, vector: str) -> DataFrame:
+    """(id, place, value): the entries other than 0 of a vector column, one row each."""
+    fields = F.from_json(F.to_json(F.struct(F.col(vector).alias("v"))), "v struct<type:int,indices:array<int>,values:array<double>>")["v"]
+    places = F.when(fields["type"] == 0, fields["indices"]).when(          # MLlib turns short vectors into dense ones
+        F.size(fields["values"]) > 0, F.sequence(F.lit(0), F.size(fields["values"]) - 1))
+    z = df.select(id_col, F.explode(F.arrays_zip(places.alias("i"), fields["values"].alias("x"))).alias("e"))
+    return z.select(id_col, F.col("e.i").alias("place"), F.col("e.x").alias("value")).filter("value <> 0")
+
+
+def encode_auto(df: DataFrame, skip: list[str] | None = None, vector: str | None = None) -> DataFrame:
+    """M3: per categorical column: any NULL -> one-hot (null row zero), else codes.
+
+    With ``vector`` the one-hot columns become one sparse vector of that name
+    (any number of values).
+    """
     from duelframe.operators.aggs import null_profile
     from duelframe.operators.project import columns_by_type
 
@@ -69,6 +123,8 @@ def encode_auto(df: DataFrame, skip: list[str] | None = None) -> DataFrame:
     prof = {r["column"]: r["nulls"] for r in null_profile(df, cats).collect()}
     with_nulls = [c for c in cats if prof[c] > 0]
     out = label_encode(df, [c for c in cats if prof[c] == 0])
+    if vector:
+        return one_hot_vector(out, with_nulls, "zero", vector) if with_nulls else out
     return one_hot(out, with_nulls, "zero")
 
 
@@ -172,7 +228,7 @@ def clean_competitors(df: DataFrame, group: str, impute_cols: list[str],
     return out
 
 
-def prepare_careers(df: DataFrame, drop: list[str], skip: list[str]) -> DataFrame:
-    """Drop columns, encode categoricals by the null rule, fill NULL with 0."""
-    out = encode_auto(df.drop(*drop), skip)
+def prepare_careers(df: DataFrame, drop: list[str], skip: list[str], vector: str | None = None) -> DataFrame:
+    """Drop columns, encode categoricals by the null rule (``vector`` as in ``encode_auto``), fill NULL with 0."""
+    out = encode_auto(df.drop(*drop), skip, vector)
     return out.fillna(0)

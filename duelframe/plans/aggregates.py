@@ -227,7 +227,7 @@ FROM r
 """)
 def q_numeric_cleanup(spark, sf_dir):
     """F18 + F19 + F20 + F21: NaN/inf made by expression, then cleaned."""
-    from duelframe.functions.numeric import abs_pct_floor_half, fill_category, fill_zero, finite_or_max
+    from duelframe.functions.numeric import abs_percent, fill_category, fill_zero, finite_or_max
 
     li = table(spark, sf_dir, "lineitem")
     x = (F.when((F.col("l_tax") == 0) & (F.col("l_discount") == 0), F.lit(float("nan")))
@@ -239,7 +239,7 @@ def q_numeric_cleanup(spark, sf_dir):
                   F.when(F.col("l_returnflag") == "N", F.lit(None)).otherwise(F.col("l_returnflag"))
                   .alias("flag"))
     r = fill_category(fill_zero(r.withColumn("x_finite", F.round(finite_or_max("x"), 6))
-                                 .withColumn("x_pct", F.floor(abs_pct_floor_half(
+                                 .withColumn("x_pct", F.floor(abs_percent(
                                      F.when(F.isnan("x") | (F.abs("x") == float("inf")), 0.0)
                                       .otherwise(F.col("x")))).cast("double"))
                                  .drop("x")),

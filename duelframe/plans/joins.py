@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from duelframe.functions.keys import normalize_name, pair_key, word_pairs
 from duelframe.operators import joins as J
+from duelframe.operators.joins import broadcast_if_small
 from duelframe.operators.project import winner_loser
 from duelframe.plans import sqlx as S
 from duelframe.plans.registry import register, table
@@ -50,7 +51,7 @@ def _location_inputs(spark, sf_dir):
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     # nation (25 rows) and region (5 rows) do not grow with the scale factor
-    nr = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+    nr = n.join(broadcast_if_small(r), n.n_regionkey == r.r_regionkey)
     dim = nr.select(F.concat("n_name", F.lit(", Centre, "), "r_name").alias("location"),
                     (F.col("n_nationkey") * 10.5).alias("location_elevation"),
                     F.col("n_nationkey").alias("dim_id")).unionByName(
@@ -58,7 +59,7 @@ def _location_inputs(spark, sf_dir):
                     (F.col("n_nationkey") * 10.5 + 1).alias("location_elevation"),
                     (F.col("n_nationkey") + 100).alias("dim_id")))
     cust = table(spark, sf_dir, "customer").join(
-        F.broadcast(nr.select("n_nationkey", F.concat("n_name", F.lit(" , somewhere ,"),
+        broadcast_if_small(nr.select("n_nationkey", F.concat("n_name", F.lit(" , somewhere ,"),
                                                       F.lit(" "), "r_name").alias("loc"))),
         F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "loc")
     return cust, dim
@@ -352,10 +353,10 @@ def q_combined_bouts(spark, sf_dir):
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     # nation (25 rows) and region (5 rows) are fixed-size dimensions
-    nr = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select(
+    nr = n.join(broadcast_if_small(r), n.n_regionkey == r.r_regionkey).select(
         "n_nationkey", "n_name", F.concat_ws(", ", "n_name", "r_name").alias("location"),
         (F.col("n_nationkey") * 10.5).alias("location_elevation"))
-    cust = c.join(F.broadcast(nr), c.c_nationkey == nr.n_nationkey).select(
+    cust = c.join(broadcast_if_small(nr), c.c_nationkey == nr.n_nationkey).select(
         "c_custkey", "c_name", "n_name", "location")
     outcome = (F.when(F.col("o_orderstatus") == "F", "Red")
                 .when(F.col("o_orderstatus") == "O", "Blue").otherwise("Draw"))

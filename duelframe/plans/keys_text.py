@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from duelframe.functions import keys as K
 from duelframe.functions import text as T
+from duelframe.operators.joins import broadcast_if_small
 from duelframe.plans import sqlx as S
 from duelframe.plans.registry import register, table
 
@@ -41,7 +42,7 @@ def q_place_keys(spark, sf_dir):
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     # region has 5 rows at every scale factor (fixed-size dimension)
-    j = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+    j = n.join(broadcast_if_small(r), n.n_regionkey == r.r_regionkey)
     loc = F.expr(_LOC)
     return j.select(
         "n_nationkey", loc.alias("location"), K.place_key(loc).alias("place_key"),

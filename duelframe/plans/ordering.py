@@ -40,7 +40,7 @@ SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderkey DESC LIMIT 5
 def q_preview_tail(spark, sf_dir):
     """The last five rows in key order (tail preview)."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return O.preview(o, [F.col("o_orderkey").asc()], 5, tail=True)
+    return O.preview(o, ["o_orderkey"], 5, tail=True)
 
 
 @register("preview_head", "SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderkey LIMIT 5")

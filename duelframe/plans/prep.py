@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from duelframe.operators import prep as M
-from duelframe.plans.aggregates import CORR_SQL, lineitem_label
+from duelframe.plans.aggregates import _CORR_COLS, CORR_SQL
 from duelframe.plans.registry import register, table
 
 _SPLIT = "substr(md5(concat_ws(':', CAST(o_orderkey AS VARCHAR), '{seed}')), 1, 8) < '{thr}'"
@@ -64,6 +64,20 @@ def q_encode_auto(spark, sf_dir):
     return M.encode_auto(o)
 
 
+@register("one_hot_sparse", """
+WITH o AS (SELECT o_orderkey, nullif(CAST(o_custkey AS VARCHAR), '1') AS c, CAST(o_orderdate AS VARCHAR) AS d FROM orders),
+c AS (SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY c) - 1 AS INTEGER) AS place FROM o WHERE c IS NOT NULL),
+n AS (SELECT count(DISTINCT c) AS n FROM o),
+d AS (SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY d) - 1 + n AS INTEGER) AS place FROM o, n)
+SELECT o_orderkey, place, 1.0::DOUBLE AS value FROM (SELECT * FROM c UNION ALL SELECT * FROM d)
+""")
+def q_one_hot_sparse(spark, sf_dir):
+    """M2 with any number of values: customers (one of them NULL) and order dates as one sparse vector."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.nullif(F.col("o_custkey").cast("string"), F.lit("1")).alias("c"), F.col("o_orderdate").cast("string").alias("d"))
+    return M.sparse_entries(M.one_hot_vector(o, ["c", "d"], output="v"), "o_orderkey", "v")
+
+
 @register("scale_train_test", f"""
 WITH o AS (SELECT o_orderkey, o_totalprice, {_split_sql(7, 0.8)} AS is_train FROM orders),
 s AS (SELECT avg(o_totalprice) AS m, stddev_pop(o_totalprice) AS sd, min(o_totalprice) AS lo,
@@ -106,22 +120,21 @@ def q_split_stratified(spark, sf_dir):
 WITH c AS (SELECT feature, abs(corr) * 100 AS score FROM ({CORR_SQL})
            WHERE corr IS NOT NULL AND NOT isnan(corr)),
 r AS (SELECT *, row_number() OVER (ORDER BY score DESC, feature DESC) AS rk, count(*) OVER () AS n FROM c),
-f AS (SELECT feature FROM r WHERE rk <= greatest(floor(n / 2), 1))
-SELECT l_orderkey, l_linenumber, 'l_quantity' IN (SELECT feature FROM f) AS keeps_quantity,
-       'l_tax' IN (SELECT feature FROM f) AS keeps_tax,
-       CAST(l_returnflag = 'R' AS INTEGER) AS label
-FROM lineitem
+f AS (SELECT feature FROM r WHERE rk <= greatest(floor(n / 2), 1)),
+u AS (SELECT row_key, feature, value, label FROM (
+    SELECT l_orderkey || '-' || l_linenumber AS row_key, CAST(l_returnflag = 'R' AS INTEGER) AS label,
+           """ + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _CORR_COLS) + """ FROM lineitem)
+    UNPIVOT INCLUDE NULLS (value FOR feature IN (""" + ", ".join(_CORR_COLS) + """)))
+SELECT row_key, feature, round(value, 6) AS value, label FROM u WHERE feature IN (SELECT feature FROM f)
 """)
 def q_feature_set_correlated(spark, sf_dir):
     """M17 + M22: keep the correlated half of the features."""
     li = table(spark, sf_dir, "lineitem")
-    df = lineitem_label(spark, sf_dir).withColumn("l_orderkey", F.lit(0))
-    feats = M.select_correlated(df.drop("l_orderkey"), "label")
-    out = li.select("l_orderkey", "l_linenumber",
-                    F.lit("l_quantity" in feats).alias("keeps_quantity"),
-                    F.lit("l_tax" in feats).alias("keeps_tax"),
-                    (F.col("l_returnflag") == "R").cast("int").alias("label"))
-    return out
+    df = li.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("row_key"), *[F.col(c).cast("double").alias(c) for c in _CORR_COLS],
+                   (F.col("l_returnflag") == "R").cast("int").alias("label"))
+    chosen = M.feature_set(df, "correlated", "label", keep=["row_key"])
+    long = chosen.unpivot(["row_key", "label"], [c for c in chosen.columns if c in _CORR_COLS], "feature", "value")
+    return long.select("row_key", "feature", F.round("value", 6).alias("value"), "label")
 
 
 @register("feature_set_no_avg", """
