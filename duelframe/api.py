@@ -33,7 +33,10 @@ from duelframe.operators.metrics import (  # noqa: F401  A16-A19
 from duelframe.operators.models import (  # noqa: F401  M8-M16, M18-M21
     as_features, bernoulli_nb, compare_models, evaluate, grid_search, knn_classify,
     linear_svm, logreg, mlp, pca, predict_horizons, random_forest, rank_results,
-    repeat_eval, rfe,
+    mean_confusion, repeat_eval, repeat_predictions, rfe,
+)
+from duelframe.operators.selection import (  # noqa: F401  M4, M15, M16 in evaluation
+    Elimination, principal_components, reduced, scaled,
 )
 from duelframe.operators.name_index import nearest_names  # noqa: F401  J7
 from duelframe.operators.names import threshold_pairs  # noqa: F401

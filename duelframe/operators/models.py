@@ -16,9 +16,8 @@ from pyspark.ml.classification import (
     LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import PCA, Binarizer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import Binarizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import DataFrame, Window
@@ -26,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from duelframe.operators.metrics import binary_metrics
+from duelframe.operators.selection import eliminate, gram, principal_components
 
 
 def as_features(df: DataFrame, cols: list[str] | str, out: str = "features") -> DataFrame:
@@ -82,31 +82,17 @@ def mlp(layers: list[int], max_iter: int = 100, seed: int = 1, step: float | Non
 
 def pca(df: DataFrame, k: int, inp: str = "features", out: str = "pca") -> DataFrame:
     """Centre (PCA in MLlib does not), then project on k components."""
-    model = Pipeline(stages=[
-        StandardScaler(withMean=True, withStd=False, inputCol=inp, outputCol="_ctr"),
-        PCA(k=k, inputCol="_ctr", outputCol=out)]).fit(df)
-    return model.transform(df).drop("_ctr")
+    return principal_components(k, inp, out).fit(df).transform(df).drop("_centred")
 
 
 def rfe(df: DataFrame, cols: list[str], label: str, k: int, step: int = 1) -> list[str]:
-    """Recursive feature elimination with a linear model.
+    """Names of the ``k`` columns that recursive elimination with a linear model keeps.
 
-    Each round fits ``LinearRegression`` on the remaining columns and drops
-    the ``step`` columns with the smallest |coefficient|.
+    A round drops the ``step`` columns with the smallest |coefficient|; all
+    rounds work on one aggregated Gram matrix (``operators.selection``).
     """
-    keep = list(cols)
-    data = df.select(*cols, F.col(label).cast("double").alias("_y")).persist()
-    try:
-        while len(keep) > k:
-            v = VectorAssembler(inputCols=keep, outputCol="_f").transform(data)
-            coef = LinearRegression(featuresCol="_f", labelCol="_y", regParam=0.0) \
-                .fit(v).coefficients.toArray()
-            drop = min(step, len(keep) - k)
-            order = np.argsort(np.abs(coef), kind="stable")[:drop]
-            keep = [c for i, c in enumerate(keep) if i not in set(order.tolist())]
-    finally:
-        data.unpersist()
-    return keep
+    matrix, _, _ = gram(df, F.array(*[F.col(c).cast("double") for c in cols]), F.col(label))
+    return [cols[i] for i in eliminate(matrix, k, step)]
 
 
 # -- evaluation ---------------------------------------------------------------
@@ -211,6 +197,53 @@ def repeat_eval(df: DataFrame, make: Callable[[int], object], seeds=range(1, 6),
     return spark.createDataFrame(rows, "seed int, metric string, value double")
 
 
+def repeat_predictions(df: DataFrame, make: Callable[[int], object], seeds=range(1, 6), frac: float = 0.8,
+                       id_col: str = "id", label: str = "label") -> DataFrame:
+    """M8: (seed, id, label, prediction) of the test rows of each seeded split.
+
+    The data is persisted once and every fit reads it; the predictions are
+    written, so the metrics of all seeds come from one table.
+    """
+    from duelframe.operators.prep import split
+    from duelframe.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    data = right_size(df)
+    parts = []
+    try:
+        for s in seeds:
+            d = split(data, id_col, frac, s)
+            train = d.filter("is_train")
+            test = make(train.count()).fit(train).transform(d.filter(~F.col("is_train")))
+            test = test.select(F.lit(int(s)).alias("seed"), F.col(id_col).alias("id"), F.col(label).cast("int").alias("label"),
+                               F.col("prediction").cast("int").alias("prediction"))
+            parts.append(test.checkpoint(eager=True))
+    finally:
+        data.unpersist()
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def mean_confusion(predictions: DataFrame) -> DataFrame:
+    """M8: (label, prediction, mean_count, mean_f1): cells of the mean confusion matrix over seeds, and the label's mean F1.
+
+    One aggregate over (seed, label, prediction); cells that no seed fills
+    are left out.  A class's F1 is 0 in a seed that neither has nor predicts it.
+    """
+    cells = predictions.groupBy("seed", "label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+    seeds = max(cells.select("seed").distinct().count(), 1)
+    hit = (F.col("label") == F.col("prediction")).cast("int")
+    side = cells.select("seed", "n", F.explode(F.array(
+        F.struct(F.col("label").alias("c"), hit.alias("hit")), F.struct(F.col("prediction").alias("c"), F.lit(0).alias("hit")))).alias("s"))
+    # 2 hits / (rows labelled so + rows predicted so)
+    f1 = side.groupBy("seed", F.col("s.c").alias("c")).agg((2 * F.sum(F.col("n") * F.col("s.hit")) / F.sum("n")).alias("f1"))
+    f1 = f1.groupBy(F.col("c").alias("label")).agg((F.sum("f1") / seeds).alias("mean_f1"))
+    counts = cells.groupBy("label", "prediction").agg((F.sum("n") / seeds).alias("mean_count"))
+    return counts.join(f1, "label").select("label", "prediction", "mean_count", "mean_f1")
+
+
 def predict_horizons(windows: DataFrame, f: int, make: Callable[[int], object],
                      id_col: str = "id", frac: float = 0.8, seed: int = 2,
                      features: str = "features") -> DataFrame:

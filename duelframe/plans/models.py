@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from duelframe.operators import models as ML
 from duelframe.operators.prep import split, split_threshold
+from duelframe.operators.selection import scaled
 from duelframe.plans.registry import register, table
 
 
@@ -64,8 +65,8 @@ def q_knn_weighted(spark, sf_dir):
 
 def _models():
     return {
-        "logreg": lambda n: ML.logreg(C=1.0, n=n),
-        "linear_svm": lambda n: ML.linear_svm(C=1.0, n=n),
+        "logreg": lambda n: scaled(ML.logreg(C=1.0, n=n)),
+        "linear_svm": lambda n: scaled(ML.linear_svm(C=1.0, n=n)),
         "bernoulli_nb": lambda n: ML.bernoulli_nb(1.0),
         "random_forest": lambda n: ML.random_forest(n_trees=50, max_depth=5),
         "knn": lambda n: ML.Knn(5),
@@ -111,15 +112,68 @@ def q_pca(spark, sf_dir):
 
 @register("rfe_selection", None)
 def q_rfe(spark, sf_dir):
-    """Eliminate features of a linear fit down to 8 (16 per round)."""
+    """Eliminate features of a linear fit down to 8, one a round."""
     e = table(spark, sf_dir, "embeddings")
     cols = [f"e{i}" for i in range(64)]
     wide = e.select(*[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cols)],
                     (F.col("label") % 2).alias("label"))
-    keep = ML.rfe(wide, cols, "label", 8, step=16)
+    keep = ML.rfe(wide, cols, "label", 8)
     return wide.select(*keep, "label")
 
 
+_NB = """
+e AS (SELECT vec_id, label % 2 AS y, list_transform(CAST(embedding AS DOUBLE[]), lambda v: CAST(v > 0 AS INTEGER)) AS b FROM embeddings),
+s AS (SELECT e.*, seed, substr(md5(concat_ws(':', CAST(vec_id AS VARCHAR), CAST(seed AS VARCHAR))), 1, 8) < '{thr}' AS is_train
+      FROM e, (SELECT unnest({seeds}) AS seed)),
+u AS (SELECT vec_id, seed, y, is_train, unnest(b) AS v, unnest(range(len(b))) AS i FROM s),
+t AS (SELECT seed, y, i, ln((sum(v) + 1.0) / (count(*) + 2.0)) AS on_, ln((count(*) - sum(v) + 1.0) / (count(*) + 2.0)) AS off_
+      FROM u WHERE is_train GROUP BY ALL),
+c AS (SELECT seed, y, ln(count(*) + 1.0) AS prior FROM s WHERE is_train GROUP BY ALL),
+l AS (SELECT u.vec_id, u.seed, u.y AS label, t.y AS k, sum(CASE WHEN v = 1 THEN on_ ELSE off_ END) + any_value(prior) AS score
+      FROM u JOIN t ON u.i = t.i AND u.seed = t.seed JOIN c ON c.seed = t.seed AND c.y = t.y WHERE NOT is_train GROUP BY ALL),
+p AS (SELECT vec_id, seed, CAST(label AS INTEGER) AS label, CAST(arg_max(k, score) AS INTEGER) AS prediction FROM l GROUP BY vec_id, seed, label)
+"""
+
+
+@register("naive_bayes_predictions", "WITH" + _NB.format(thr=split_threshold(0.8), seeds="[1]") + "SELECT vec_id AS id, label, prediction FROM p")
+def q_naive_bayes(spark, sf_dir):
+    """Bernoulli naive Bayes on features binarised at 0, predictions of a 20 % hold-out (closed form in SQL)."""
+    p = ML.repeat_predictions(embedding_frame(spark, sf_dir), lambda n: ML.bernoulli_nb(1.0), seeds=[1])
+    return p.select("id", "label", "prediction")
+
+
+@register("repeat_confusion", "WITH" + _NB.format(thr=split_threshold(0.8), seeds="[1, 2, 3, 4, 5]") + """,
+n AS (SELECT seed, label, prediction, count(*) AS n FROM p GROUP BY ALL),
+f AS (SELECT k, sum(f1) / 5 AS f1 FROM (SELECT seed, k, 2.0 * sum(hit) / sum(n) AS f1 FROM (
+    SELECT seed, label AS k, n, CASE WHEN label = prediction THEN n ELSE 0 END AS hit FROM n UNION ALL SELECT seed, prediction, n, 0 FROM n)
+    GROUP BY ALL) GROUP BY k)
+SELECT label, prediction, round(sum(n) / 5, 6) AS mean_count, round(any_value(f1), 6) AS mean_f1
+FROM n JOIN f ON f.k = n.label GROUP BY label, prediction
+""")
+def q_repeat_confusion(spark, sf_dir):
+    """M8: mean confusion matrix and mean F1 per class over five seeded 80/20 splits."""
+    p = ML.repeat_predictions(embedding_frame(spark, sf_dir), lambda n: ML.bernoulli_nb(1.0))
+    return ML.mean_confusion(p).select("label", "prediction", F.round("mean_count", 6).alias("mean_count"), F.round("mean_f1", 6).alias("mean_f1"))
+
+
+@register("pca_held_out", f"""
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v,
+    substr(md5(concat_ws(':', CAST(vec_id AS VARCHAR), '5')), 1, 8) < '{split_threshold(0.8)}' AS is_train FROM embeddings),
+u AS (SELECT vec_id, is_train, unnest(v) AS x, unnest(range(len(v))) AS i FROM e),
+m AS (SELECT i, avg(x) AS m FROM u WHERE is_train GROUP BY i)
+SELECT vec_id, round(sum((x - m) ** 2), 4) AS apart FROM u JOIN m USING (i) WHERE NOT is_train GROUP BY vec_id
+""")
+def q_pca_held_out(spark, sf_dir):
+    """Components fitted on train rows, applied to the held-out ones; on all 64 components a
+    projection is as long as the row is far from the train mean."""
+    from duelframe.operators.selection import principal_components
+
+    e = split(embedding_frame(spark, sf_dir), "id", 0.8, 5)
+    model = principal_components(64).fit(e.filter("is_train"))
+    out = model.transform(e.filter(~F.col("is_train"))).select(F.col("id").alias("vec_id"), ML.vector_to_array("pca").alias("p"))
+    return out.select("vec_id", F.round(F.aggregate("p", F.lit(0.0), lambda a, x: a + x * x), 4).alias("apart"))
+
+
 @register("mlp_eval", None)
 def q_mlp(spark, sf_dir):
     """Feed-forward net on the 64 features, evaluated on a 20 % hold-out."""
