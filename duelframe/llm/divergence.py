@@ -2,7 +2,7 @@
 
 Identical texts of a language are found by digest (SHA-256, length and a
 64-bit hash); per text and source only a number of copies is kept.  One copy
-of each text is then tokenized, and its term counts and document frequency
+of each text, compressed on its way, is then tokenized, and its term counts and document frequency
 are added once for each source, times the copies there.  A text found in
 many sources meets them in slots of SLOT sources.
 
@@ -20,15 +20,16 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from duelframe.llm.common import merged_chunks, small_batches, tidy, written
+from duelframe.llm.common import small_batches, text_chunks, tidy, written
 from duelframe.llm.shingles import arrow_bytes
 
 MIN_DOCS, TOP = 30, 50
 SLOT = 16                        # sources of one text in a row
-SOURCES, TERMS = 256, 2048       # of a block, about
+SOURCES, TERMS = 256, 128        # of a block, about
 KEY = ["lang", "dfx_sha", "dfx_len", "dfx_check"]
 COUNTS = "lang string, source string, term string, n long, docs long"
 
@@ -64,20 +65,56 @@ def _summed(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     return key[first], *(np.add.reduceat(v[order], first) if len(key) else v[:0] for v in values)
 
 
+def packed(texts: DataFrame) -> DataFrame:
+    """KEY and the text (dfx_text) as a zstandard frame (dfx_packed)."""
+    def run(batches):
+        zstd = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            for part in text_chunks(batch, "dfx_text"):
+                frames = pa.array([zstd.compress(t) for t in part.column("dfx_text").to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in KEY), frames], names=[*KEY, "dfx_packed"])
+        tidy()
+
+    small_batches(texts.sparkSession)
+    cols = texts.select(*KEY, F.col("dfx_text").cast("binary").alias("dfx_text"))
+    return cols.mapInArrow(run, "lang string, dfx_sha binary, dfx_len int, dfx_check long, dfx_packed binary")
+
+
+def _unpacked(batches, limit: int):
+    """(lang, text, copies) of about ``limit`` bytes of text at once, one row at least."""
+    zstd = zstandard.ZstdDecompressor()
+    held, size = [], 0
+
+    def out():
+        lang, texts, copies = (pa.concat_arrays([h[c] for h in held]) for c in range(3))
+        return lang, pa.array([zstd.decompress(t) for t in texts.to_pylist()], pa.large_string()), copies
+
+    for batch in batches:
+        lengths, first = batch.column("dfx_len").to_pylist(), 0
+        for i, n in enumerate(lengths):
+            if size and size + n > limit:
+                held.append([batch.column(c).slice(first, i - first) for c in ("lang", "dfx_packed", "dfx_copies")])
+                yield out()
+                held, size, first = [], 0, i
+            size += n
+        held.append([batch.column(c).slice(first) for c in ("lang", "dfx_packed", "dfx_copies")])
+    if size:
+        yield out()
+
+
 def counted(texts: DataFrame) -> DataFrame:
-    """(lang, source, term, n, docs) from (lang, dfx_text, dfx_copies: array of (source, n)), summed per batch only."""
+    """(lang, source, term, n, docs) from (lang, dfx_len, dfx_packed, dfx_copies: array of (source, n)), summed per batch only."""
     def run(batches):
-        for part in merged_chunks(batches, "dfx_text", 4 << 20):
-            names, code, text = terms_of(part.column(1))
+        for langs, column, copies in _unpacked(batches, 6 << 20):
+            names, code, text = terms_of(column)
             if not len(names):
                 continue
             key, tf = _summed(text * len(names) + code, np.ones(len(code), np.int64))
             text, code = key // len(names), key % len(names)
-            copies = part.column(2)
             held = pc.list_flatten(copies)
             per_text = pc.list_value_length(copies).to_numpy(zero_copy_only=False).astype(np.int64)
             first = np.concatenate([[0], np.cumsum(per_text)])
-            lang = part.column(0).dictionary_encode()
+            lang = langs.dictionary_encode()
             source = held.field("source").dictionary_encode()
             n = held.field("n").to_numpy(zero_copy_only=False).astype(np.int64)
             lang_of, source_of = (x.indices.to_numpy(zero_copy_only=False).astype(np.int64) for x in (lang, source))
@@ -114,8 +151,8 @@ def collapsed(docs: DataFrame, text_col: str, lang_col: str, source_col: str) ->
     wide = copies.groupBy(*KEY).agg(F.ceil(F.count(F.lit(1)) / SLOT).alias("dfx_slots"))
     slots = copies.join(wide, KEY).withColumn("dfx_slot", F.pmod(F.xxhash64("source"), "dfx_slots"))
     slots = slots.groupBy(*KEY, "dfx_slot").agg(F.collect_list(F.struct("source", "n")).alias("dfx_copies"))
-    texts = rows.filter("dfx_len > 0").select(*KEY, "dfx_text").dropDuplicates(KEY)
-    return copies, texts.join(slots, KEY).select("lang", "dfx_text", "dfx_copies")
+    texts = packed(rows.filter("dfx_len > 0")).dropDuplicates(KEY)
+    return copies, texts.join(slots, KEY).select("lang", "dfx_len", "dfx_packed", "dfx_copies")
 
 
 def _p(count: str, total: str, kept: str):
