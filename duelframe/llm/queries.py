@@ -111,7 +111,7 @@ w AS (SELECT *, sum(n) OVER (PARTITION BY source, pass ORDER BY o, block ROWS UN
     row_number() OVER (PARTITION BY source, pass ORDER BY o, block) AS r FROM h)
 SELECT d.doc_id, d.source, w.pass::INTEGER AS pass, ((w.pass - 1) * {mixing.BLOCKS} + w.r - 1)::BIGINT AS position
 FROM d JOIN w ON d.source IS NOT DISTINCT FROM w.source AND d.block = w.block
-WHERE w.tokens = 0 OR w.before < w.quota - (w.pass - 1) * w.tokens
+WHERE w.tokens <= w.quota - (w.pass - 1) * w.tokens OR w.before < w.quota - (w.pass - 1) * w.tokens
 """
 
 OP5_SQL = """
