@@ -31,9 +31,9 @@ from duelframe.operators.metrics import (  # noqa: F401  A16-A19
     accuracy, binary_metrics, confusion_matrix, f1_per_class, macro_f1,
 )
 from duelframe.operators.models import (  # noqa: F401  M8-M16, M18-M21
-    as_features, bernoulli_nb, compare_models, evaluate, grid_search, knn_classify,
+    as_features, bernoulli_nb, compare_models, evaluate, grid_search, knn_classify, knn_neighbours,
     linear_svm, logreg, mlp, pca, predict_horizons, random_forest, rank_results,
-    mean_confusion, repeat_eval, repeat_predictions, rfe,
+    mean_confusion, repeat_eval, repeat_predictions, rfe, tune_knn,
 )
 from duelframe.operators.selection import (  # noqa: F401  M4, M15, M16 in evaluation
     Elimination, principal_components, reduced, scaled,

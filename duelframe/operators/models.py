@@ -20,7 +20,7 @@ from pyspark.ml.feature import Binarizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -328,19 +328,16 @@ def _nearest(ids, qmat, tid, tv, tlab, k: int) -> pd.DataFrame:
                          "_d": np.concatenate(out_d), "_lab": np.concatenate(out_l)})
 
 
-def knn_classify(train: DataFrame, test: DataFrame, k: int = 5, weights: str = "uniform",
-                 id_col: str = "id", vec: str = "vec", label: str = "label",
-                 query_block: int = KNN_QUERY_BLOCK,
-                 train_block: int = KNN_TRAIN_BLOCK) -> DataFrame:
-    """Exact k-NN vote (Euclidean), ties by (distance, train id).
+def knn_neighbours(train: DataFrame, test: DataFrame, k: int = 5, id_col: str = "id", vec: str = "vec", label: str = "label",
+                   query_block: int = KNN_QUERY_BLOCK, train_block: int = KNN_TRAIN_BLOCK) -> DataFrame:
+    """(_qid, _tid, _d, _lab, _r): the exact k nearest train rows (Euclidean) of each test row, ties by (distance, train id).
 
     Both sides are dealt by a hash of their ids into blocks of about
     ``query_block`` and ``train_block`` rows.  Every query block meets every
     train block in a task of its own, which keeps k rows for each query; a
     top-k merge per query follows.  Nothing passes through the driver, and
-    both counts only set the number of blocks.  Votes: 'uniform' or
-    'distance' (1/d; exact matches alone vote); ties -> the smallest label.
-    Rows without a vector take no part.  Output: (id, prediction).
+    both counts only set the number of blocks.  Rows without a vector take
+    no part.
     """
     q = test.where(F.col(vec).isNotNull()).select(
         F.col(id_col).alias("_qid"), F.col(vec).cast("array<double>").alias("_q"))
@@ -372,17 +369,60 @@ def knn_classify(train: DataFrame, test: DataFrame, k: int = 5, weights: str = "
                            T.StructField("_lab", tr.schema["_lab"].dataType)])
     cand = q.groupBy("_qb", "_tb").cogroup(tr.groupBy("_qb", "_tb")).applyInPandas(local_top, schema)
     w = Window.partitionBy("_qid").orderBy("_d", "_tid")
-    top = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-    if weights == "uniform":
-        wt = F.lit(1.0)
-    else:
-        has_zero = F.max((F.col("_d") == 0).cast("int")).over(Window.partitionBy("_qid"))
-        wt = F.when(has_zero == 1, F.when(F.col("_d") == 0, 1.0).otherwise(0.0)) \
-              .otherwise(1.0 / F.col("_d"))
-    votes = top.withColumn("_w", wt).groupBy("_qid", "_lab").agg(F.sum("_w").alias("_s"))
-    best = votes.groupBy("_qid").agg(
-        F.min(F.struct((-F.col("_s")).alias("neg"), F.col("_lab"))).alias("_b"))
-    return best.select(F.col("_qid").alias(id_col), F.col("_b._lab").alias("prediction"))
+    return cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
+
+
+def _votes(top: DataFrame, weight: Column, *by: str) -> DataFrame:
+    """(*by, _qid, prediction): the label with most votes; ties -> the smallest."""
+    votes = top.withColumn("_w", weight).groupBy(*by, "_qid", "_lab").agg(F.sum("_w").alias("_s"))
+    best = votes.groupBy(*by, "_qid").agg(F.min(F.struct((-F.col("_s")).alias("neg"), F.col("_lab"))).alias("_b"))
+    return best.select(*by, "_qid", F.col("_b._lab").alias("prediction"))
+
+
+def _inverse_distance() -> Column:
+    """1 / d; exact matches, if there are any among the neighbours, vote alone."""
+    exact = F.min("_d").over(Window.partitionBy("_qid")) == 0
+    return F.when(exact, (F.col("_d") == 0).cast("double")).otherwise(1.0 / F.col("_d"))
+
+
+def knn_classify(train: DataFrame, test: DataFrame, k: int = 5, weights: str = "uniform", id_col: str = "id",
+                 vec: str = "vec", label: str = "label", **blocks: int) -> DataFrame:
+    """(id, prediction) by the vote of the k nearest (``knn_neighbours``).
+
+    Votes: 'uniform' or 'distance' (1/d; exact matches alone vote); ties ->
+    the smallest label.
+    """
+    top = knn_neighbours(train, test, k, id_col, vec, label, **blocks)
+    best = _votes(top, F.lit(1.0) if weights == "uniform" else _inverse_distance())
+    return best.withColumnRenamed("_qid", id_col)
+
+
+def tune_knn(df: DataFrame, ks: list[int], weights: tuple[str, ...] = ("uniform", "distance"), fold: str = "fold",
+             id_col: str = "id", vec: str = "vec", label: str = "label") -> tuple[DataFrame, dict]:
+    """M9 for k-NN: ((k, weights, accuracy) over all folds, the best setting).
+
+    Each row is predicted from the rows of the other folds.  One neighbour
+    search per fold, for the largest k, serves every k and weighting; the
+    votes of all settings are one aggregate.  Of equally good settings the
+    smallest k, then the first weighting counts as best.
+    """
+    data = df.select(F.col(id_col).alias("_id"), F.col(vec).alias("_v"), F.col(label).alias("_y"), F.col(fold).alias("_fold")).persist()
+    try:
+        parts = [knn_neighbours(data.filter(F.col("_fold") != f), data.filter(F.col("_fold") == f), max(ks), "_id", "_v", "_y")
+                 for f in sorted(r["_fold"] for r in data.select("_fold").distinct().collect())]
+        top = parts[0]
+        for p in parts[1:]:
+            top = top.unionByName(p)
+        settings = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(w).alias("weights")) for k in ks for w in weights]))
+        top = top.withColumn("_s", settings).select("*", "_s.*").filter("_r <= k")
+        weight = F.when(F.col("weights") == "uniform", F.lit(1.0)).otherwise(_inverse_distance())
+        got = _votes(top, weight, "k", "weights").join(data.select(F.col("_id").alias("_qid"), "_y"), "_qid")
+        rows = got.groupBy("k", "weights").agg(F.avg((F.col("prediction") == F.col("_y")).cast("double")).alias("accuracy")).collect()
+    finally:
+        data.unpersist()
+    best = min(rows, key=lambda r: (-r["accuracy"], r["k"], weights.index(r["weights"])))
+    table = df.sparkSession.createDataFrame([tuple(r) for r in rows], "k int, weights string, accuracy double")
+    return table, {"k": best["k"], "weights": best["weights"], "accuracy": best["accuracy"]}
 
 
 class Knn:

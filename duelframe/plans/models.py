@@ -63,6 +63,26 @@ def q_knn_weighted(spark, sf_dir):
                            weights="distance", id_col="vec_id", vec="embedding")
 
 
+@register("knn_grid", """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label % 2 AS y, vec_id % 3 AS fold FROM embeddings),
+d AS (SELECT t.vec_id AS qid, t.y AS real, r.y, list_distance(t.v, r.v) AS dist,
+             row_number() OVER (PARTITION BY t.vec_id ORDER BY list_distance(t.v, r.v), r.vec_id) AS rk
+      FROM e t JOIN e r ON t.fold <> r.fold),
+s AS (SELECT qid, real, y, k, w, dist, min(dist) OVER (PARTITION BY qid) = 0 AS exact
+      FROM d, (SELECT unnest([3, 5, 9]) AS k), (SELECT unnest(['uniform', 'distance']) AS w) WHERE rk <= k),
+v AS (SELECT k, w, qid, real, y, sum(CASE WHEN w = 'uniform' THEN 1.0 WHEN exact THEN CAST(dist = 0 AS DOUBLE) ELSE 1.0 / dist END) AS votes
+      FROM s GROUP BY ALL),
+p AS (SELECT k, w, qid, real, arg_min(y, [-votes, y]) AS prediction FROM v GROUP BY ALL)
+SELECT k, w AS weights, round(avg(CAST(prediction = real AS DOUBLE)), 6) AS accuracy FROM p GROUP BY k, w
+""")
+def q_knn_grid(spark, sf_dir):
+    """M9 for k-NN: every k and weighting from one neighbour search per fold."""
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"),
+                                                  (F.col("label") % 2).cast("long").alias("label"), (F.col("vec_id") % 3).alias("fold"))
+    grid, _ = ML.tune_knn(e, [3, 5, 9])
+    return grid.select("k", "weights", F.round("accuracy", 6).alias("accuracy"))
+
+
 def _models():
     return {
         "logreg": lambda n: scaled(ML.logreg(C=1.0, n=n)),

@@ -72,3 +72,26 @@ def test_mean_confusion_by_hand(spark):
     out = ML.mean_confusion(spark.createDataFrame(rows, "seed int, id int, label int, prediction int"))
     got = {(r.label, r.prediction): (r.mean_count, round(r.mean_f1, 6)) for r in out.collect()}
     assert got == {(0, 0): (1.0, 0.666667), (0, 1): (0.5, 0.666667), (1, 1): (0.5, 0.333333), (2, 0): (0.5, 0.0)}
+
+
+def test_one_search_serves_every_setting(spark):
+    rng = np.random.default_rng(7)
+    x = rng.integers(0, 4, (60, 3)).astype(float)                 # many equal distances, also 0
+    y = (x.sum(axis=1) > 4).astype(float)
+    df = table(spark, x, y).select("id", F.col("x").alias("vec"), "label", (F.col("id") % 4).alias("fold"))
+    grid, best = ML.tune_knn(df, [1, 4, 7])
+    got = {(r.k, r.weights): r.accuracy for r in grid.collect()}
+    want = {}
+    for k in (1, 4, 7):
+        for w in ("uniform", "distance"):
+            hits = 0
+            for i in range(60):
+                near = sorted((np.sqrt(((x[i] - x[j]) ** 2).sum()), j) for j in range(60) if j % 4 != i % 4)[:k]
+                exact = near[0][0] == 0
+                votes = {}
+                for d, j in near:
+                    votes[y[j]] = votes.get(y[j], 0) + (1 if w == "uniform" else (d == 0) * 1.0 if exact else 1 / d)
+                hits += min(votes, key=lambda c: (-votes[c], c)) == y[i]
+            want[k, w] = hits / 60
+    assert got == pytest.approx(want)
+    assert best["accuracy"] == max(got.values()) and got[best["k"], best["weights"]] == best["accuracy"]
