@@ -6,8 +6,8 @@ characters before each frame, and where its compressed bytes end.  A line is
 ``[^\\n]*\\n|[^\\n]+``.  Prefix, middle and suffix end after a number of lines;
 the cumulative line counts name the frame of a cut, and only that frame is
 decompressed to find its place.  The output is a frame store of its own:
-whole frames of a section are taken over as they are, the two parts of a cut
-frame are compressed anew, markers are frames.  Digests stream frames in
+whole frames of a section are taken over as they are, markers and the parts
+of cut frames that meet are compressed anew, together.  Digests stream frames in
 order, one frame in memory; restoring reads the sections from the output,
 found by their markers, in the order of the text.
 """
@@ -84,9 +84,10 @@ class Frames:
 
 
 class FrameWriter:
-    """Gathers frames and their seek table."""
+    """Gathers frames and their seek table; pieces that meet are one frame of up to ``most`` bytes."""
 
-    def __init__(self):
+    def __init__(self, most: int = 0):
+        self.most, self.held = most, b""
         self.size, self.lines, self.chars, self.ends, self.parts = [0], [0], [0], [], []
 
     def take(self, packed, size: int, lines: int, chars: int) -> None:
@@ -97,6 +98,13 @@ class FrameWriter:
         self.ends.append((self.ends[-1] if self.ends else 0) + len(packed))
 
     def add(self, data: bytes, zstd: zstandard.ZstdCompressor) -> None:
+        if len(self.held) + len(data) > self.most:
+            self.close(zstd)
+        self.held += data
+
+    def close(self, zstd: zstandard.ZstdCompressor) -> None:
+        """Ends the frame of the pieces added last."""
+        data, self.held = self.held, b""
         if data:
             self.take(zstd.compress(data), len(data), data.count(b"\n"), _characters(data))
 
@@ -108,13 +116,15 @@ class FrameWriter:
                 to -= 1
             self.add(data[at:to], zstd)
             at = to
+        self.close(zstd)
 
     def section(self, store: Frames, start: int, end: int, pack, unpack) -> None:
         """Bytes of another store: whole frames as they are, cut ones anew."""
         f = max(bisect_right(store.size, start) - 1, 0)
         while start < end:
             lo, hi = store.size[f], store.size[f + 1]
-            if start == lo and hi <= end:
+            if start == lo and hi <= end and (hi - lo + len(self.held) > self.most or not self.held):
+                self.close(pack)
                 self.take(store.packed(f), hi - lo, store.lines[f + 1] - store.lines[f], store.chars[f + 1] - store.chars[f])
             else:
                 self.add(store.frame(f, unpack)[start - lo:end - lo], pack)
@@ -173,7 +183,8 @@ def draws(doc_id: int | None, seed: int) -> list[int]:
 def transformed(doc_id: int | None, store: Frames, marked: bool, pack, unpack, seed: int, rate: int, spm: int):
     """(n, form, prefix_chars, middle_chars) and the frames of the output."""
     h1, h2, h3, h4 = draws(doc_id, seed)
-    n, out = store.n_lines(unpack), FrameWriter()
+    n = store.n_lines(unpack)
+    out = FrameWriter(max(np.diff(store.size), default=0) + len(PREFIX + SUFFIX + MIDDLE))
     if not n or marked or h3 % 100 >= rate:
         out.section(store, 0, store.size[-1], pack, unpack)
         return (n, "plain", None, None), out
@@ -184,6 +195,7 @@ def transformed(doc_id: int | None, store: Frames, marked: bool, pack, unpack, s
     for marker, start, end in (suffix, prefix, middle) if form == "spm" else (prefix, suffix, middle):
         out.add(marker, pack)
         out.section(store, start, end, pack, unpack)
+    out.close(pack)
     return (n, form, a_chars, b_chars - a_chars), out
 
 

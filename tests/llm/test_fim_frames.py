@@ -81,3 +81,8 @@ def test_markers_across_frames_are_found():
     writer = fim.FrameWriter()
     writer.add_text(b"<P>ab<S><S<M>", 2, pack)
     assert fim.sections(fim.Frames(*writer.row()), "psm", unpack) == [(3, 5), (13, 13), (8, 10)]
+
+
+def test_markers_and_parts_of_a_small_text_are_one_frame(spark):
+    store = fim.write_frames(docs_of(spark, [(i, "".join(f"line {k}\n" for k in range(i)), "e") for i in range(1, 30)]))
+    assert {len(r.dfx_ends) for r in fim.fill_in_middle(store).collect()} == {1}
