@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from duelframe.functions.keys import normalize_name, pair_key, word_pairs
+from duelframe.functions.keys import name_pairs, normalize_name, pair_key
 from duelframe.operators import joins as J
 from duelframe.operators.joins import broadcast_if_small
 from duelframe.operators.project import winner_loser
@@ -27,14 +27,13 @@ def q_pair_join(spark, sf_dir):
     """Documents ⟕ conversations on the order-insensitive pair of every two
     neighbouring words (conversation words swapped); cards deduplicated (A11)."""
     d = table(spark, sf_dir, "documents").select(
-        "doc_id", "lang", F.posexplode(word_pairs("text")).alias("pos", "w")).select(
-        "doc_id", "lang", "pos", F.col("w.a").alias("n1"), F.col("w.b").alias("n2"))
+        "doc_id", "lang", F.posexplode(name_pairs("text")).alias("pos", "w")).select(
+        "doc_id", "lang", "pos", pair_key("w.a", "w.b").alias("_k"))
     c = table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", "role", F.posexplode(word_pairs("text")).alias("pos", "w")).select(
-        "conv_id", "turn", "role", "pos", F.col("w.b").alias("n1"), F.col("w.a").alias("n2"))
-    c = c.withColumn("_k", pair_key(normalize_name("n1"), normalize_name("n2")))
-    c = J.dedupe_first(c, "_k", ["conv_id", "turn", "pos"]).drop("_k")
-    out = J.pair_join(d, c, ("n1", "n2"), ("n1", "n2"))
+        "conv_id", "turn", "role", F.posexplode(name_pairs("text")).alias("pos", "w")).select(
+        "conv_id", "turn", "role", "pos", pair_key("w.b", "w.a").alias("_k"))
+    c = J.dedupe_first(c, "_k", ["conv_id", "turn", "pos"])
+    out = J.pair_join(d, c, "_k", "_k")
     return out.select("doc_id", "lang", "pos", "sc_conv_id", "sc_turn", "sc_role", "sc_pos")
 
 
