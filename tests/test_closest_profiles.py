@@ -58,3 +58,19 @@ def test_large_blocks_make_no_threshold_rounds(spark, monkeypatch):
     df = spark.createDataFrame([(i, dt.date(2020, 1, 1), f"name {i:04d}", "x") for i in range(60)], "i int, d date, w string, l string")
     out = J.best_match_join(df, df.toDF("j", "e", "v", "m"), "i", "j", "d", "e", ("w", "l"), ("v", "m"), max_block_pairs=100)
     assert all(r.match_j == r.i and r.match_cost == 0 for r in out.collect())
+
+
+def test_many_small_blocks_are_not_compared_pair_by_pair(spark, monkeypatch):
+    from duelframe.operators import joins as J
+
+    bounded, seen = J.closest_profiles, []
+    monkeypatch.setattr(J, "closest_profiles", lambda *a: seen.append(a) or bounded(*a))
+    first = dt.date(2020, 1, 1)
+    df = spark.createDataFrame([(i, first + dt.timedelta(2 * (i % 30)), f"name {i:04d}", "x") for i in range(90)],
+                               "i int, d date, w string, l string")
+
+    def match(**limits):
+        return J.best_match_join(df, df.toDF("j", "e", "v", "m"), "i", "j", "d", "e", ("w", "l"), ("v", "m"), **limits).collect()
+
+    assert all(r.match_j == r.i for r in match(max_pairs=270)) and not seen      # 30 blocks of 9 pairs
+    assert all(r.match_j == r.i for r in match(max_pairs=269)) and seen
